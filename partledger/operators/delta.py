@@ -117,14 +117,15 @@ def mark_processed(
 def upsert_state(state: DataFrame, merged: DataFrame) -> DataFrame:
     """State after a run: entries of ``merged`` replace those with the same key.
 
-    Both have ``uf, period, size, mtime``.
+    Both have ``uf, period, size, mtime`` and one row per key, so one full join decides.
     """
-    columns = ["uf", "period", "size", "mtime"]
-    fresh = merged.select(*columns)
-    return (
-        state.select(*columns)
-        .join(fresh.select("uf", "period"), ["uf", "period"], "left_anti")
-        .unionByName(fresh)
+    old, new = F.struct("size", "mtime").alias("_old"), F.struct("size", "mtime").alias("_new")
+    both = state.select("uf", "period", old).join(
+        merged.select("uf", "period", new), ["uf", "period"], "full"
+    )
+    entry = F.coalesce("_new", "_old")
+    return both.select(
+        "uf", "period", entry["size"].alias("size"), entry["mtime"].alias("mtime")
     )
 
 

@@ -22,42 +22,42 @@ from partledger.spec import (
     DatasetSpec,
 )
 
+_STRING, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
+
+
+def _record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+
+
 # Layout of the documents: field names and order are fixed values of the format.
-RECORDED_FILE = T.StructType.fromDDL(
-    "bytes bigint, cacheMtime string, file string, ftpMtime string, ftpPath string"
-)
-PARTITION = T.StructType.fromDDL("ano int, mes int, uf string")
-SOURCES_RECORD = (
-    T.StructType()
-    .add("files", T.ArrayType(RECORDED_FILE))
-    .add("partition", PARTITION)
-    .add("version", T.IntegerType())
+RECORDED_FILE = _record(
+    bytes=_LONG, cacheMtime=_STRING, file=_STRING, ftpMtime=_STRING, ftpPath=_STRING
 )
-SOURCE_FILE = T.StructType.fromDDL(
-    "bytes bigint, file string, ftpPath string, mtime string, sha256 string"
+PARTITION = _record(ano=_INT, mes=_INT, uf=_STRING)
+SOURCES_RECORD = _record(files=T.ArrayType(RECORDED_FILE), partition=PARTITION, version=_INT)
+SOURCE_FILE = _record(bytes=_LONG, file=_STRING, ftpPath=_STRING, mtime=_STRING, sha256=_STRING)
+OUTPUT = _record(
+    columns=_INT,
+    file=_STRING,
+    fingerprint=_STRING,
+    rows=_LONG,
+    schema=T.ArrayType(_record(name=_STRING, type=_STRING)),
+    sha256=_STRING,
 )
-OUTPUT = T.StructType.fromDDL(
-    "columns int, file string, fingerprint string, rows bigint,"
-    " schema array<struct<name:string,type:string>>, sha256 string"
-)
-PIPELINE = T.StructType.fromDDL(
-    "archiveScript string, datasusSdk string, decoder string, notes string"
-)
-RECONSTRUCTED = (
-    T.StructType()
-    .add(
-        "certification",
-        T.StructType.fromDDL(
-            "dbcRecordCount bigint, ftpNewestMtime string, minAgeHours int,"
-            " parquetLastModified string, stateSourceSize bigint"
-        ),
-    )
-    .add("notes", T.StringType())
-    .add(
-        "previous",
-        T.StructType.fromDDL("generatedAt string, outputSha256 string, pipeline map<string,string>"),
-    )
-    .add("reason", T.StringType())
+PIPELINE = _record(archiveScript=_STRING, datasusSdk=_STRING, decoder=_STRING, notes=_STRING)
+RECONSTRUCTED = _record(
+    certification=_record(
+        dbcRecordCount=_LONG,
+        ftpNewestMtime=_STRING,
+        minAgeHours=_INT,
+        parquetLastModified=_STRING,
+        stateSourceSize=_LONG,
+    ),
+    notes=_STRING,
+    previous=_record(
+        generatedAt=_STRING, outputSha256=_STRING, pipeline=T.MapType(_STRING, _STRING)
+    ),
+    reason=_STRING,
 )
 
 

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A union of joins would otherwise claim their partitioning, and a join above it fails
+    # once adaptive execution coalesces the two inputs differently.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
@@ -24,6 +27,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Apply the library's settings to a running session."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared directory named by ``spark.checkpoint.dir``.
 
