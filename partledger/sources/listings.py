@@ -15,7 +15,7 @@ def _require(valid: Column, message: Column) -> Column:
 
 def whole_documents(spark: SparkSession, paths) -> DataFrame:
     """One row per file: ``path, value`` (the whole text)."""
-    return spark.read.option("wholetext", True).text(paths).select(
+    return spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), "value"
     )
 
