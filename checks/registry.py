@@ -11,6 +11,9 @@ from checks.derive import table, with_tables
 from partledger.session import shared_folder
 
 
+CONTROL_TABLES = {"listing", "state", "headers", "cache", "stored", "objects", "documents_text"}
+
+
 class Inputs:
     """The tables of one run, given or derived, by attribute."""
 
@@ -18,7 +21,11 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in CONTROL_TABLES:
+            return table(self.spark, self.sf_dir, name)
+        # Control tables are stored, as in an archive; rows are derived where they are read.
+        path = self.once(name, table(self.spark, self.sf_dir, name).write.parquet)
+        return self.spark.read.parquet(path)
 
     def once(self, purpose: str, build: Callable[[str], None]) -> str:
         """A folder that ``build`` fills the first time an application asks for it."""

@@ -102,14 +102,18 @@ def split_publishable(data: DataFrame, approved: DataFrame) -> tuple[DataFrame,
 
 
 def quarantine_rejected(
-    data: DataFrame, rejected: DataFrame, rejected_root: str, spec: DatasetSpec = SIA_PA
+    data: DataFrame,
+    rejected: DataFrame,
+    rejected_root: str,
+    spec: DatasetSpec = SIA_PA,
+    sort_cols: Sequence[str] | None = None,
 ) -> DataFrame:
     """Writes the rejected partitions apart and returns the rows that may be published.
 
     Only rejected partitions are rewritten; the rest is never copied here.
     """
     keys = rejected.select(*KEY).distinct()
-    write_partitions(data.join(keys, KEY, "left_semi"), rejected_root, spec)
+    write_partitions(data.join(keys, KEY, "left_semi"), rejected_root, spec, sort_cols)
     return data.join(keys, KEY, "left_anti")
 
 
