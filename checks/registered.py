@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from checks import control_queries, data_queries  # noqa: F401
+from checks import control_queries, data_queries, lineage_queries  # noqa: F401
 from checks.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]

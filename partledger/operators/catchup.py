@@ -171,17 +171,19 @@ def budget_prefix_cut(items: DataFrame, budget: int) -> DataFrame:
 
 
 def run_outcomes(certification: DataFrame, budgeted: DataFrame, counts: DataFrame) -> DataFrame:
-    """One outcome per candidate of a run: skipped (with reason), written or remaining.
+    """One outcome per candidate of a run: skipped (with reason), written, failed or remaining.
 
-    ``counts`` is the record-count check of the selected partitions (``KEY, problem``).
+    ``counts`` is the record-count check of the selected partitions (``KEY, problem``); one
+    whose data could not be counted has failed. A failure does not stop the others.
     """
     skipped = certification.filter(F.col("skip_reason").isNotNull()).select(
         *KEY, F.lit("skipped").alias("outcome"), F.col("skip_reason").alias("reason")
     )
-    done = budgeted.join(counts.select(*KEY, "problem"), KEY, "left")
+    done = budgeted.join(counts.select(*KEY, "problem", F.lit(True).alias("_counted")), KEY, "left")
     bad = F.col("problem").isNotNull()
     outcome = (
         F.when(F.col("decision") != "selected", F.lit("remaining"))
+        .when(F.col("_counted").isNull(), F.lit("failed"))
         .when(bad, F.lit("skipped"))
         .otherwise(F.lit("written"))
     )
