@@ -19,12 +19,17 @@ def _rate(hit: Column, known: Column) -> Column:
 
 
 def birth_risk_rates(births: DataFrame, by: Sequence[str] = ("uf", "ano")) -> DataFrame:
-    """Low birth weight (below 2500 g) and prematurity (below 37 weeks) per group."""
+    """Rates of low weight (below 2500 g), of short gestation (below 37 weeks), and of either.
+
+    A birth counts for the combined rate once one of the two settles the answer.
+    """
     weight, weeks = F.col("PESO"), F.col("SEMAGESTAC")
+    either = (weight < 2500) | (weeks < 37)
     return births.groupBy(*by).agg(
         F.count(F.lit(1)).alias("births"),
         _rate(weight < 2500, weight.isNotNull()).alias("low_weight_rate"),
         _rate(weeks < 37, weeks.isNotNull()).alias("premature_rate"),
+        _rate(either, either.isNotNull()).alias("either_rate"),
     )
 
 
@@ -88,34 +93,33 @@ def mortality_by_cause(deaths: DataFrame, digits: int = 4) -> DataFrame:
     )
 
 
-# Unit digit of the coded age, and how many years one such unit is.
-AGE_UNITS = {"0": "minute", "1": "hour", "2": "day", "3": "month", "4": "year", "5": "year"}
-
-
-def decode_age(code: Column) -> Column:
+def decode_age(code: Column, units: Mapping[str, str] | None = None) -> Column:
     """``struct(unit, value)`` of a four-character age: unit digit, then the amount.
 
-    Unit 5 counts years from one hundred.
+    ``units`` names the digits; without it the digit itself is kept.
     """
     unit = F.substring(code, 1, 1)
+    if units is not None:
+        pairs = [F.lit(x) for item in units.items() for x in item]
+        unit = F.try_element_at(F.create_map(*pairs), unit)
     value = F.substring(code, 2, 3).try_cast("int")
-    pairs = [F.lit(x) for item in AGE_UNITS.items() for x in item]
-    name = F.try_element_at(F.create_map(*pairs), unit)
-    amount = F.when(unit == "5", value + 100).otherwise(value)
     return F.when(
-        code.rlike(r"^[0-5][0-9]{3}\z"), F.struct(name.alias("unit"), amount.alias("value"))
+        code.rlike(r"^[0-9]{4}\z"), F.struct(unit.alias("unit"), value.alias("value"))
     )
 
 
+# Unit codes of the age at admission.
+ADMISSION_AGE_UNITS = {"0": "hour", "1": "day", "2": "month", "3": "year", "4": "year"}
+
+
 def hospital_age(unit_code: Column, amount: Column) -> Column:
     """``struct(unit, value)`` of an admission's age, whose unit has a column of its own.
 
-    Units 2, 3, 4 and 5 are days, months, years, and years beyond one hundred; 0 is unknown.
+    Unit 4 counts the years beyond one hundred.
     """
-    unit = F.when(unit_code == "2", "day").when(unit_code == "3", "month").when(
-        unit_code.isin("4", "5"), "year"
-    )
-    value = F.when(unit_code == "5", amount + 100).otherwise(amount)
+    pairs = [F.lit(x) for item in ADMISSION_AGE_UNITS.items() for x in item]
+    unit = F.try_element_at(F.create_map(*pairs), unit_code)
+    value = F.when(unit_code == "4", amount + 100).otherwise(amount)
     return F.when(unit.isNotNull(), F.struct(unit.alias("unit"), value.cast("int").alias("value")))
 
 

@@ -1,5 +1,7 @@
 """The archive's jobs. Each composes operators over DataFrames; the control tables that
-link them are DataFrames too, so a whole cycle can run in one program."""
+link them are DataFrames too, so a whole cycle can run in one program.
+
+A table that several outputs of a job share is stored once in the shared folder."""
 
 from __future__ import annotations
 
@@ -21,6 +23,7 @@ from partledger.operators import (
     unchanged,
     verification,
 )
+from partledger.session import store
 from partledger.sinks import archive as archive_sink
 from partledger.spec import DEFAULT_BUDGET_BYTES, KEY, SIA_PA, WRITTEN, DatasetSpec
 
@@ -42,7 +45,7 @@ def detect_new(
 ) -> Detection:
     """Group the listing, compare it with the state, and list what is pending."""
     groups = listing.group_listing(source_listing, spec)
-    pending = delta.select_pending(groups, state, window_months, legacy_since)
+    pending = store(delta.select_pending(groups, state, window_months, legacy_since), "pending")
     return Detection(
         pending=pending,
         reasons=delta.reason_counts(pending),
@@ -91,16 +94,17 @@ def archive(
     )
     chosen = files.select(F.col("name").alias("source_name"))
     data = records.join(chosen, "source_name", "left_semi").drop("source_name")
-    return archive_sink.write_lineage_then_data(texts, data, lineage_root, data_root, spec)
+    return archive_sink.write_lineage_then_data(
+        store(texts, "lineage"), data, lineage_root, data_root, spec
+    )
 
 
 def verify(
     pending: DataFrame, staged: DataFrame, headers: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """All pending partitions with status, the approved, and the rejected."""
-    result = verification.verify_partitions(
-        pending, verification.partition_row_counts(staged), headers
-    )
+    counts = verification.partition_row_counts(staged)
+    result = store(verification.verify_partitions(pending, counts, headers), "verification")
     return (result, *verification.split_verified(result))
 
 
@@ -110,9 +114,8 @@ def skip_unchanged(
     """Outcome per verified partition, and the release period of the run."""
     to_hash = staged.join(verified.select(*KEY).distinct(), KEY, "left_semi")
     local = fingerprint.content_fingerprint(to_hash, KEY, fingerprint.archived_payload(staged))
-    outcomes = unchanged.skip_unchanged(
-        verified, local, unchanged.published_fingerprints(documents)
-    )
+    published = unchanged.published_fingerprints(documents)
+    outcomes = store(unchanged.skip_unchanged(verified, local, published), "unchanged")
     return outcomes, unchanged.release_of_run(outcomes, previous_newest)
 
 
@@ -120,7 +123,9 @@ def mark_processed(
     state: DataFrame, pending: DataFrame, status: DataFrame, verified: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """New state, and the outcome of every pending partition."""
-    outcomes = delta.mark_processed(pending, delta.archived_status(status), verified)
+    outcomes = store(
+        delta.mark_processed(pending, delta.archived_status(status), verified), "processed"
+    )
     merged = outcomes.filter(F.col("outcome") == "merged").select(
         "uf", names.period(F.col("ano"), F.col("mes")).alias("period"), "size", "mtime"
     )
@@ -167,9 +172,8 @@ def audit(
     source_listing: DataFrame, headers: DataFrame, published: DataFrame, spec: DatasetSpec = SIA_PA
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Problems in report order, keys only in the published tree, and the summary."""
-    result = verification.audit_partitions(
-        source_listing, headers, verification.partition_row_counts(published), spec
-    )
+    counts = verification.partition_row_counts(published)
+    result = store(verification.audit_partitions(source_listing, headers, counts, spec), "audit")
     return (
         verification.audit_problems(result),
         verification.only_in_published(result),
@@ -207,25 +211,30 @@ def provenance_catchup(
     ``KEY, rows, fingerprint, schema, sha256``.
     """
     partitions = catchup.published_partitions(objects, documents, dataset)
-    selection = catchup.select_candidates(partitions, pending)
+    selection = store(catchup.select_candidates(partitions, pending), "selection")
     candidates = selection.filter(F.col("selection") == "candidate").withColumn(
         "last_modified", F.col("parquet.last_modified")
     )
-    certification = catchup.certify_sources(
-        candidates, listing.group_listing(source_listing, spec), state, spec
+    groups = listing.group_listing(source_listing, spec)
+    certification = store(
+        catchup.certify_sources(candidates, groups, state, spec), "certification"
     )
     certified = certification.filter(F.col("skip_reason").isNull())
-    budgeted = catchup.budget_prefix_cut(catchup.download_need(certified, cache), budget)
+    need = catchup.download_need(certified, cache)
+    budgeted = store(catchup.budget_prefix_cut(need, budget), "budget")
     chosen = certified.join(
         budgeted.filter(F.col("decision") == "selected").select(*KEY), KEY, "left_semi"
     )
-    outputs = described(chosen.select(*KEY))
+    outputs = store(described(chosen.select(*KEY)), "outputs")
     files = chosen.select(*KEY, F.posexplode("files").alias("position", "_f")).select(
         *KEY, "position", "_f.name", "_f.size", "_f.path"
     )
     per_file = files.join(headers.select("name", "records"), "name", "left")
-    counts = verification.check_record_count(
-        outputs.select(*KEY, "rows"), per_file.select(*KEY, "records"), KEY
+    counts = store(
+        verification.check_record_count(
+            outputs.select(*KEY, "rows"), per_file.select(*KEY, "records"), KEY
+        ),
+        "counts",
     )
     source = F.struct(
         F.col("size").alias("bytes"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -44,3 +44,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/partledger-{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Cuts lineage and keeps a result that several later steps use from being computed again;
+    unlike a cache it survives the loss of executors.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
