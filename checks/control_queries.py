@@ -327,33 +327,19 @@ def _(t):
     return g.filter(times.in_window(F.col("period"), start)).select("uf", "period")
 
 
-@register(
-    "sort_pending",
-    "listing state",
-    "SELECT uf, ano, mes, reason, greatest(cast((SELECT count(*) FROM pending) - 40 AS bigint), 0) AS more FROM pending ORDER BY uf, ano, mes LIMIT 40",
-    PENDED,
-)
+@register("sort_pending", "listing state", "SELECT uf, ano, mes, reason FROM pending ORDER BY uf, ano, mes", PENDED)
 def _(t):
-    return ordering.report_top_n(delta.sort_pending(pending(t)).select(*KEY, "reason"), KEY, 40)
+    return delta.sort_pending(pending(t)).select(*KEY, "reason")
 
 
-@register(
-    "sort_targets",
-    "listing state",
-    "SELECT uf, ano, mes FROM pending ORDER BY ano DESC, mes DESC, uf LIMIT 25",
-    PENDED,
-)
+@register("sort_targets", "listing state", "SELECT uf, ano, mes FROM pending ORDER BY ano DESC, mes DESC, uf", PENDED)
 def _(t):
-    return ordering.sort_targets(pending(t).select(*KEY), ordering.NEWEST_FIRST).limit(25)
+    return ordering.sort_targets(pending(t).select(*KEY), ordering.NEWEST_FIRST)
 
 
-@register(
-    "sort_partitions",
-    "stored",
-    "SELECT uf, ano, mes FROM stored ORDER BY ano, uf, mes LIMIT 25",
-)
+@register("sort_partitions", "stored", "SELECT uf, ano, mes FROM stored ORDER BY ano, uf, mes")
 def _(t):
-    return ordering.sort_partitions(t.stored.select(*KEY)).limit(25)
+    return ordering.sort_partitions(t.stored.select(*KEY))
 
 
 @register(

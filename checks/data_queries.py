@@ -8,6 +8,7 @@ from checks.control_queries import PENDED, pending
 from checks.registry import Inputs, register
 from partledger.operators import catalog, fingerprint, lineage, unchanged, verification
 from partledger.plans import analytics
+from partledger.session import store
 from partledger.sinks import archive as sink
 from partledger.sinks import control
 from partledger.sources import listings, records
@@ -179,6 +180,20 @@ def _(t):
     return fingerprint.revision_summary(d, ["l_returnflag", "year"])
 
 
+@register(
+    "diff_changed_partitions",
+    "lines published_lines",
+    "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate) FROM diff",
+    DIFF,
+)
+def _(t):
+    outcomes = store(
+        fingerprint.compare_fingerprints(_prints(t.lines), _prints(t.published_lines), KEY), "outcomes"
+    )
+    diff = fingerprint.diff_changed_partitions(t.published_lines, t.lines, outcomes, KEY, COLUMNS)
+    return diff.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+
+
 @register(
     "revised_partitions",
     "lines published_lines",
@@ -190,8 +205,7 @@ def _(t):
 )
 def _(t):
     changed = fingerprint.compare_fingerprints(_prints(t.lines), _prints(t.published_lines), KEY)
-    keys = changed.filter("outcome <> 'unchanged'").select(*KEY)
-    return analytics.count_by(t.lines.join(keys, KEY, "left_semi"), KEY)
+    return analytics.count_by(fingerprint.changed_partitions(t.lines, changed, KEY), KEY)
 
 
 @register(

@@ -36,14 +36,14 @@ CTES = {
     # What the source lists today.
     "listing": f"""
       SELECT {_FILE}, CASE WHEN uf = 'UE' AND suffix = '' THEN '.DBC' ELSE '.dbc' END) AS name,
-             cast(sum(o_custkey) AS bigint) AS size,
+             cast(sum(o_custkey + 1) AS bigint) AS size,
              CASE WHEN uf = 'UD' AND suffix = 'b' AND ano = 2006 THEN NULL ELSE max(o_orderdate) END AS mtime,
              count(*) AS recs
       FROM order_rows GROUP BY uf, ano, mes, suffix
     """,
     # What the archive knew: the newest months and some late files had not arrived.
     "known": """
-      SELECT uf, ano, mes, cast(sum(o_custkey) AS bigint) AS size, max(o_orderdate) AS newest
+      SELECT uf, ano, mes, cast(sum(o_custkey + 1) AS bigint) AS size, max(o_orderdate) AS newest
       FROM order_rows
       WHERE o_orderdate < (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 2 MONTH FROM orders)
         AND NOT (uf = 'UB' AND o_orderstatus = 'P' AND ano >= 2010)
@@ -75,7 +75,7 @@ CTES = {
     """,
     # Stored objects and the provenance documents among them.
     "stored": f"""
-      SELECT uf, ano, mes, cast(sum(o_custkey) AS bigint) AS bytes, count(*) AS n,
+      SELECT uf, ano, mes, cast(sum(o_custkey + 1) AS bigint) AS bytes, count(*) AS n,
              max(o_orderdate) AS newest, {_DIR} AS dir
       FROM order_rows GROUP BY uf, ano, mes
     """,
@@ -202,13 +202,23 @@ def with_tables(names: list[str], extra: dict[str, str] | None = None) -> str:
     return "WITH " + ", ".join(parts)
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose schema is inferred once per path."""
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or one derived from them."""
     apply_settings(spark)
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    for t in ("orders", "lineitem", "events", "supplier"):
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    for given in ("orders", "lineitem", "events", "supplier"):
+        read_parquet(spark, f"{sf_dir}/{given}.parquet").createOrReplaceTempView(given)
     df = spark.sql(f"{with_tables([name])} SELECT * FROM {name}")
     for c in ("mtime", "newest", "last_modified"):
         if dict(df.dtypes).get(c) == "timestamp_ntz":

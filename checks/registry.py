@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.derive import table, with_tables
+from checks.derive import read_parquet, table, with_tables
 from partledger.session import shared_folder
 
 
@@ -24,8 +24,8 @@ class Inputs:
         if name not in CONTROL_TABLES:
             return table(self.spark, self.sf_dir, name)
         # Control tables are stored, as in an archive; rows are derived where they are read.
-        path = self.once(name, table(self.spark, self.sf_dir, name).write.parquet)
-        return self.spark.read.parquet(path)
+        path = self.once(name, lambda to: table(self.spark, self.sf_dir, name).write.parquet(to))
+        return read_parquet(self.spark, path)
 
     def once(self, purpose: str, build: Callable[[str], None]) -> str:
         """A folder that ``build`` fills the first time an application asks for it."""

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from partledger.functions import jsontext
 from partledger.functions.digests import hex_word, limb_sum_hex, limbs, swap_bytes
 from partledger.functions.names import two_digits
+from partledger.session import spread_small_input
 from partledger.spec import FINGERPRINT_VERSION
 
 
@@ -52,13 +53,13 @@ def content_fingerprint(
 ) -> DataFrame:
     """Row count and multiset fingerprint per group of ``by``.
 
-    Each row is hashed where it is read; counts, limb sums and xor are combined
+    Each row is hashed where it is read (a small unsplit input is dealt out first); counts, limb sums and xor are combined
     before the shuffle, so only one record per (task, group) moves and a hot
     group costs no more than a cold one. Duplicates count: a sum does not cancel.
     With no grouping columns an empty input still yields one row.
     """
     payload = row_payload(df) if payload is None else payload
-    hashed = df.select(*by, F.md5(payload.cast("binary")).alias("_digest")).select(
+    hashed = spread_small_input(df).select(*by, F.md5(payload.cast("binary")).alias("_digest")).select(
         *by,
         hex_word(F.col("_digest"), 1).alias("_upper"),
         swap_bytes(hex_word(F.col("_digest"), 17)).alias("_lower"),
@@ -91,6 +92,15 @@ def compare_fingerprints(current: DataFrame, published: DataFrame, by: Sequence[
     return current.join(before, list(by), "left").withColumn("outcome", outcome)
 
 
+def changed_partitions(data: DataFrame, outcomes: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of the partitions whose fingerprint is new or different.
+
+    A semi join on partition columns: files of unchanged partitions are not opened.
+    """
+    keys = outcomes.filter(F.col("outcome") != "unchanged").select(*by)
+    return data.join(keys, list(by), "left_semi")
+
+
 def revision_diff(old: DataFrame, new: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Multiset difference between two versions: each differing row once, with ``copies``.
 
@@ -110,6 +120,23 @@ def revision_diff(old: DataFrame, new: DataFrame, columns: Sequence[str] | None
     )
 
 
+def diff_changed_partitions(
+    old: DataFrame,
+    new: DataFrame,
+    outcomes: DataFrame,
+    by: Sequence[str],
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Multiset difference that only reads partitions whose fingerprints differ.
+
+    ``outcomes`` is :func:`compare_fingerprints` output; with the old fingerprints taken from
+    published documents, the bulk of an archive is neither shuffled nor read twice.
+    """
+    return revision_diff(
+        changed_partitions(old, outcomes, by), changed_partitions(new, outcomes, by), columns
+    )
+
+
 def revision_summary(diff: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows added and removed per group, and whether the revision only appended."""
     added = F.sum(F.when(F.col("change") == "added", F.col("copies")).otherwise(0))
