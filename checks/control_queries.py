@@ -481,7 +481,7 @@ def _(t):
 )
 def _(t):
     h = t.headers.withColumn("uf", F.substring("name", 3, 2))
-    return ls.duplicate_safe_total(h, "records", ["uf"])
+    return ls.sum_or_null(h, "records", ["uf"])
 
 
 @register("partition_row_counts", "staged", "SELECT uf, ano, mes, count(*) AS rows FROM staged GROUP BY uf, ano, mes")

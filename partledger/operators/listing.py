@@ -88,7 +88,7 @@ def variant_contiguity(groups: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFra
     )
 
 
-def duplicate_safe_total(files: DataFrame, count_col: str, by: list[str]) -> DataFrame:
+def sum_or_null(files: DataFrame, count_col: str, by: list[str]) -> DataFrame:
     """Sum per group that is NULL as soon as one member is NULL."""
     total = F.when(F.count(F.lit(1)) == F.count(count_col), F.sum(count_col))
     return files.groupBy(*by).agg(total.alias(count_col))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partledger.functions import rules
-from partledger.operators.listing import duplicate_safe_total, parse_listing
+from partledger.operators.listing import sum_or_null, parse_listing
 from partledger.spec import KEY, OK, SIA_PA, DatasetSpec
 
 
@@ -22,7 +22,7 @@ def verify_partitions(pending: DataFrame, local: DataFrame, headers: DataFrame)
     the header could not be read). One unreadable header makes the sum unknown.
     """
     files = pending.select(*KEY, F.explode("variants").alias("_v")).select(*KEY, "_v.path")
-    sums = duplicate_safe_total(files.join(headers, "path", "left"), "records", KEY)
+    sums = sum_or_null(files.join(headers, "path", "left"), "records", KEY)
     out = (
         pending.select(*KEY)
         .join(local.select(*KEY, "rows"), KEY, "left")
@@ -55,7 +55,7 @@ def audit_partitions(
     """
     files = parse_listing(listing, spec).select(*KEY, "name")
     counted = files.join(headers.select("name", "records"), "name", "left")
-    sums = duplicate_safe_total(counted, "records", KEY).withColumn("_listed", F.lit(True))
+    sums = sum_or_null(counted, "records", KEY).withColumn("_listed", F.lit(True))
     years = sums.select("ano").distinct()
     there = published.select(*KEY, "rows").join(years, "ano", "left_semi")
     both = sums.join(there, KEY, "full")
@@ -95,7 +95,7 @@ def check_record_count(outputs: DataFrame, headers: DataFrame, by: list[str]) ->
 
     ``outputs`` has ``by + rows``; ``headers`` has ``by + records``, one row per file.
     """
-    sums = duplicate_safe_total(headers.select(*by, "records"), "records", by)
+    sums = sum_or_null(headers.select(*by, "records"), "records", by)
     problem = F.when(F.col("records").isNull(), F.lit("unreadable-header")).when(
         F.col("records") != F.col("rows"), F.lit("mismatch")
     )

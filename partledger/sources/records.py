@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partledger.sources.listings import scan_local_tree
 from partledger.spec import KEY
 
 
@@ -94,11 +95,19 @@ def union_by_name(vintages: Sequence[DataFrame]) -> DataFrame:
     return concat_variants(cast)
 
 
-def scan_union_by_name(spark: SparkSession, root: str, vintage_globs: Sequence[str]) -> DataFrame:
+def yearly_vintages(spark: SparkSession, root: str) -> list[str]:
+    """One directory pattern per archived year; only as many values as there are years."""
+    years = scan_local_tree(spark, root).select("ano").distinct().collect()
+    return [f"ano={y}" for y in sorted(r.ano for r in years)]
+
+
+def scan_union_by_name(
+    spark: SparkSession, root: str, vintage_globs: Sequence[str] | None = None
+) -> DataFrame:
     """The whole tree when column types differ between vintages.
 
-    Each glob (e.g. ``ano=2008``) names directories that share one schema. Every vintage is
-    read with its own schema, cast to the widest types and united, so pruning and
+    Each glob names directories that share one schema (by default each year). Every vintage
+    is read with its own schema, cast to the widest types and united, so pruning and
     pushdown still reach each scan.
     """
     base = root.rstrip("/")
@@ -107,7 +116,8 @@ def scan_union_by_name(spark: SparkSession, root: str, vintage_globs: Sequence[s
         reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
         return _typed_key(reader.option("mergeSchema", "true").parquet(f"{base}/{glob}"))
 
-    return union_by_name([vintage(g) for g in vintage_globs])
+    globs = yearly_vintages(spark, root) if vintage_globs is None else vintage_globs
+    return union_by_name([vintage(g) for g in globs])
 
 
 def scan_from_manifest(data: DataFrame, announced: DataFrame) -> DataFrame:

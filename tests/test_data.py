@@ -190,7 +190,8 @@ def test_vintages_with_drift(spark, tmp_path):
         df.withColumn("mes", F.lpad("mes", 2, "0")).write.mode("append").partitionBy("ano", "uf", "mes").parquet(root)
     with pytest.raises(Exception, match="(?i)merge"):
         records.scan_dataset(spark, root).collect()
-    got = records.scan_union_by_name(spark, root, ["ano=2023", "ano=2024"])
+    assert records.yearly_vintages(spark, root) == ["ano=2023", "ano=2024"]
+    got = records.scan_union_by_name(spark, root)
     assert rows(got, "PA_CMP", "PA_X", "PA_RACACOR", "ano") == [("202301", "5", None, 2023), ("202401", "007", "n", 2024)]
     assert records.drifting_columns([a.schema, b.schema]) == {"PA_X": ["int", "string"]}
 
