@@ -824,3 +824,33 @@ def _(t):
         control.append_state(later, path, 1)
 
     return control.latest_state(t.spark, t.once("state_log", build)).select("uf", "period", "size")
+
+
+@register(
+    "write_pending",
+    "listing state",
+    """
+    SELECT uf, year, reason, count(*) AS n, cast(sum(files) AS bigint) AS files FROM (
+      SELECT p.uf, cast(p.ano AS bigint) AS year, p.reason, length(g.suffixes) - length(replace(g.suffixes, ',', '')) + 1 AS files
+      FROM pending p JOIN groups g ON p.uf = g.uf AND p.period = g.period) q GROUP BY uf, year, reason
+    """,
+    PENDED,
+)
+def _(t):
+    path = t.folder("pending_json")
+    control.write_pending(pending(t), path)
+    back = t.spark.read.schema("uf string, year bigint, reason string, variants array<struct<suffix:string>>").json(path)
+    return back.groupBy("uf", "year", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("variants").cast("bigint")).alias("files")
+    )
+
+
+@register(
+    "report_of_run",
+    "stored",
+    "SELECT count(*) AS rows_emitted FROM stored",
+)
+def _(t):
+    watched, seen = control.observe_run(t.stored, "run")
+    watched.write.mode("overwrite").parquet(t.folder("observed"))
+    return t.spark.createDataFrame([(seen.get["rows_emitted"],)], "rows_emitted bigint")

@@ -14,7 +14,7 @@ from partledger.plans import jobs
 from partledger.session import store
 from partledger.sinks import archive as sink
 from partledger.sinks import control
-from partledger.sources import documents, records
+from partledger.sources import documents, listings, records
 from partledger.spec import KEY
 
 PIPELINE = {"archiveScript": "archive@1", "datasusSdk": "sdk@1", "decoder": "dbc@1"}
@@ -422,16 +422,33 @@ def _(t):
     )
 
 
+def _written_documents(t: Inputs) -> str:
+    def build(path):
+        control.write_documents(t.documents_text.select(*KEY, "text"), path, "sia-pa")
+
+    return t.once("provenance", build)
+
+
+@register(
+    "scan_source_files",
+    "documents_text",
+    """
+    SELECT sha256(concat(text, chr(10))) AS sha256, cast(octet_length(encode(text)) + 1 AS bigint) AS bytes,
+           substr(concat(text, chr(10)), 1, 12) AS header FROM documents_text
+    """,
+)
+def _(t):
+    files = listings.scan_source_files(t.spark, _written_documents(t), "txt")
+    return files.select("sha256", "bytes", F.decode("header", "UTF-8").alias("header"))
+
+
 @register(
     "provenance_round_trip",
     "documents_text",
     "SELECT key, md5(text) AS digest FROM documents_text",
 )
 def _(t):
-    def build(path):
-        control.write_documents(t.documents_text.select(*KEY, "text"), path, "sia-pa")
-
-    docs = documents.scan_provenance(t.spark, t.once("provenance", build), "sia-pa")
+    docs = documents.scan_provenance(t.spark, _written_documents(t), "sia-pa")
     # The sink ends every document with a line break.
     return docs.select("key", F.md5(F.regexp_replace("text", r"\n\z", "").cast("binary")).alias("digest"))
 

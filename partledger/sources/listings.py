@@ -147,7 +147,12 @@ def scan_source_files(spark: SparkSession, directory: str, suffix: str = "dbc")
 
     One file is hashed per task; the format limits a file to 2 GiB.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{suffix}").load(directory)
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*.{suffix}")
+        .load(directory)
+    )
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.length("content").cast("bigint").alias("bytes"),

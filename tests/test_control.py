@@ -259,6 +259,10 @@ def test_orders_and_report(spark):
     assert newest == [("SP", 2026, 2), ("AC", 2026, 1), ("SP", 2026, 1), ("AC", 2025, 12)]
     with pytest.raises(ValueError):
         ordering.sort_targets(targets, "random")
+    by_unit = [tuple(r) for r in ordering.sort_unchanged(targets).collect()]
+    assert by_unit == [("AC", 2025, 12), ("AC", 2026, 1), ("SP", 2026, 1), ("SP", 2026, 2)]
+    by_year = [tuple(r) for r in ordering.sort_partitions(targets).collect()]
+    assert by_year == [("AC", 2025, 12), ("AC", 2026, 1), ("SP", 2026, 1), ("SP", 2026, 2)]
     report = ordering.report_top_n(targets, ["uf", "ano", "mes"], 3).collect()
     assert len(report) == 3 and {r.more for r in report} == {1}
     assert {r.more for r in ordering.report_top_n(targets, ["uf"], 50).collect()} == {0}
