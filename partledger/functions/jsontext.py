@@ -43,19 +43,36 @@ def _scalar(value: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return json_number(value)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
+        return F.concat(F.lit('"'), _writable(value, dtype), F.lit('"'))
     if isinstance(dtype, T.DecimalType):
         return value.cast("string")
     return _strip(F.to_json(F.array(value), _KEEP_NULLS), 1, 1)
 
 
 def _writable(value: Column, dtype: T.DataType) -> Column:
-    """The value in a form that ``to_json`` prints portably."""
+    """The value in a form that ``to_json`` prints portably.
+
+    Instants are printed in the session's zone, which the library sets to UTC.
+    """
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return value.cast("string")
     return value
 
 
+def _portable(name: str, value: Column, dtype: T.DataType) -> tuple[str, Column, T.DataType]:
+    """The field in a type every engine prints alike.
+
+    Decimals of up to 15 digits are exact as doubles; longer ones are kept as text.
+    """
+    if isinstance(dtype, T.FloatType):
+        return name, value.cast("double"), T.DoubleType()
+    if isinstance(dtype, T.DecimalType):
+        if dtype.precision <= 15:
+            return name, value.cast("double"), T.DoubleType()
+        return name, value.cast("string"), T.StringType()
+    return name, value, dtype
+
+
 def _by_field(fields: list[tuple[str, Column, T.DataType]]) -> Column:
     pieces = [
         F.concat(
@@ -74,10 +91,11 @@ def row_json(fields: list[tuple[str, Column, T.DataType]]) -> Column:
     one-element ``transform``, which keeps it out of the generated method: a method
     over 8,000 bytecodes would never be compiled by the JVM.
     """
+    fields = [_portable(*f) for f in fields]
     whole = F.to_json(
         F.struct(*[_writable(value, dtype).alias(name) for name, value, dtype in fields]), _KEEP_NULLS
     )
-    floating = [v for _, v, t in fields if isinstance(t, (T.FloatType, T.DoubleType))]
+    floating = [v for _, v, t in fields if isinstance(t, T.DoubleType)]
     if not floating:
         return whole
     plain = F.lit(True)

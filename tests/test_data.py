@@ -52,6 +52,23 @@ def test_fingerprint_equals_duckdb(spark, table):
     assert got.fingerprint == oracle_fingerprint(path)
 
 
+def test_fingerprint_of_every_type_equals_duckdb(spark, tmp_path):
+    from datetime import date
+    from decimal import Decimal
+
+    data = [
+        (1, 2, 3.5, 1.25, Decimal("1.50"), True, "x\u0001\u2028\\/\"é", date(2024, 1, 2), ts("2024-01-02 03:04:05.120000"), ts("2024-01-02 03:04:05.5")),
+        (None, None, 1e10, 0.1, Decimal("17.00"), None, "", date(1969, 12, 31), ts("2024-01-02 00:00:00"), None),
+        (-5, 7, 2.5e-5, 1e8, Decimal("-0.01"), False, None, None, None, None),
+        (0, 0, -0.0, None, None, None, "\t", None, ts("1999-12-31 23:59:59.000001"), ts("2000-01-01 00:00:00")),
+    ]
+    ddl = "a int, b bigint, c double, d float, e decimal(10,2), f boolean, g string, h date, i timestamp_ntz, j timestamp"
+    path = str(tmp_path / "types")
+    spark.createDataFrame(data, ddl).coalesce(1).write.parquet(path)
+    got = fingerprint.content_fingerprint(spark.read.parquet(path), []).first()
+    assert got.fingerprint == oracle_fingerprint(f"{path}/*.parquet")
+
+
 def test_fingerprint_of_nothing(spark):
     got = fingerprint.content_fingerprint(micro(spark).filter("false"), []).first()
     assert (got.rows, got.fingerprint) == (0, "v1:0::")
