@@ -76,7 +76,7 @@ def build_sources_record(files: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFr
             F.concat(F.lit(spec.source_dir + "/"), "name").alias("ftpPath"),
         ).alias("f"),
     )
-    grouped = files.groupBy(*KEY).agg(F.array_sort(F.collect_list(entry)).alias("_files"))
+    grouped = files.groupBy(*KEY).agg(F.array_sort(F.collect_set(entry)).alias("_files"))
     record = F.struct(
         F.transform("_files", lambda e: e["f"]).alias("files"),
         F.struct("ano", "mes", "uf").alias("partition"),
@@ -194,7 +194,7 @@ def group_cache(cache: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFrame:
         .groupBy(F.col("_p.uf").alias("uf"), F.col("_p.ano").alias("ano"), F.col("_p.mes").alias("mes"))
         .agg(
             F.array_sort(
-                F.collect_list(
+                F.collect_set(
                     F.struct(
                         F.col("_p.variant").alias("suffix"),
                         "name",

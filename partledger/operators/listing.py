@@ -18,8 +18,8 @@ def parse_listing(listing: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFrame:
 def group_listing(listing: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFrame:
     """One row per partition: total size, newest known time and the ordered files.
 
-    Canonical file and variants are all included. Names are unique in a listing
-    and at most 27 spellings in lower case form a partition, so the array is small.
+    Canonical file and variants are all included. Repeated entries add to the size but are
+    collapsed map-side in the array, which therefore holds distinct names only.
     """
     files = parse_listing(listing, spec).withColumn("mtime", times.known_mtime(F.col("mtime")))
     variant = F.struct(
@@ -32,7 +32,7 @@ def group_listing(listing: DataFrame, spec: DatasetSpec = SIA_PA) -> DataFrame:
     return files.groupBy(*KEY).agg(
         F.sum("size").alias("size"),
         F.max("mtime").alias("mtime"),
-        F.array_sort(F.collect_list(variant)).alias("variants"),
+        F.array_sort(F.collect_set(variant)).alias("variants"),
     )
 
 

@@ -39,6 +39,14 @@ def test_epoch_is_unknown(spark):
     assert got.mtime == ts("2020-01-01") and [v.mtime for v in got.variants] == [None, ts("2020-01-01")]
 
 
+def test_copies_do_not_grow_the_group(spark):
+    copies = spark.range(0, 20000, 1, 4).select(
+        F.lit("PASP2401a.dbc").alias("name"), F.lit(2).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("mtime")
+    )
+    got = ls.group_listing(copies.unionByName(listing(spark, [("PASP2401b.dbc", 5, None)]))).first()
+    assert got["size"] == 40005 and [v.suffix for v in got.variants] == ["a", "b"]
+
+
 def test_resolve_partition_files(spark):
     sizes = [142415543, 143198291, 166896052, 198744482, 24123300]
     items = [(f"PASP2608{c}.dbc", s, None) for c, s in zip("abcde", sizes)][::-1]
