@@ -14,7 +14,7 @@ from partledger.plans import jobs
 from partledger.sinks import archive as sink
 from partledger.sinks import control
 from partledger.sources import documents, listings
-from partledger.spec import KEY, SIA_PA
+from partledger.spec import DATASETS, KEY, SIA_PA
 
 LEGACY_SINCE = datetime(1996, 7, 1)
 PERIOD = "concat(cast(ano AS varchar), '-', lpad(cast(mes AS varchar), 2, '0'))"
@@ -86,8 +86,6 @@ def _(t):
     """,
 )
 def _(t):
-    from partledger.spec import DATASETS
-
     s = t.stored
     yearly = s.select("uf", "ano").distinct()
     year = F.col("ano").cast("string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checks.control_queries import CHOOSING, groups
@@ -15,7 +17,10 @@ from partledger.session import store
 from partledger.sinks import archive as sink
 from partledger.sinks import control
 from partledger.sources import documents, listings, records
-from partledger.spec import KEY
+from partledger.spec import KEY, SIA_PA
+
+# The derived order lines, sorted by their own columns.
+_LINES = replace(SIA_PA, sort_cols=("l_shipdate", "l_suppkey"))
 
 PIPELINE = {"archiveScript": "archive@1", "datasusSdk": "sdk@1", "decoder": "dbc@1"}
 NOW = "2026-12-01T00:00:00.000Z"
@@ -593,17 +598,6 @@ def _(t):
     return status.join(written, KEY, "left").select(*KEY, F.coalesce("rows", F.lit(0)).alias("rows"), "status")
 
 
-def _lines_spec():
-    import dataclasses
-
-    from partledger.spec import SIA_PA
-
-    return dataclasses.replace(SIA_PA, sort_cols=("l_shipdate", "l_suppkey"))
-
-
-_LINES = _lines_spec()
-
-
 @register(
     "provenance_catchup_job",
     "stored listing state cache staged headers",
