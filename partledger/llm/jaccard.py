@@ -21,6 +21,8 @@ PERCENT = 85
 SHORT_LIST = 32
 #: The most frequent shingles that come last in the order, at most.
 FREQUENT = 100_000
+#: Ids that are broadcast to find their texts, at most (16 bytes each).
+BROADCAST_ROWS = 500_000
 #: Members that are compared with one pivot in one group.
 CHUNK = 64
 
@@ -89,8 +91,14 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, widt
                 blobs.append(own.tobytes())
         return pa.StructArray.from_arrays([pa.array(cls_all, pa.int64()), pa.array(blobs, pa.binary())], ["cls", "shingles"])
 
-    picked = wanted.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls"))
+    picked = store(wanted.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls")), "jaccard-wanted")
+    # Ids of a known number: few enough are sent to the texts, else texts and ids are shuffled.
+    if picked.count() <= BROADCAST_ROWS:
+        picked = F.broadcast(picked)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # Not deterministic for the planner: else the comparison below would become a join key,
+    # and every text would be cut into shingles before the join.
+    full = full.asNondeterministic()
     rows = texts.join(picked, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_cls", full("text").alias("s"))
     # An id given to several texts brings them all; the set's hash tells which one is meant.
     return rows.filter(F.col("_cls") == F.col("s.cls")).select("s.*").dropDuplicates(["cls"])
@@ -242,20 +250,24 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     frequent = [r["s"] for r in counted.filter(F.col("c") >= short_list).orderBy(F.col("c").desc(), "s").limit(FREQUENT).collect()]
     last = np.sort(np.array(frequent, np.int32))
 
+    def are_last(values: np.ndarray) -> np.ndarray:
+        top = (values >> 32).astype(np.int32)
+        if not len(last):
+            return np.zeros(len(top), bool)
+        return last[np.minimum(np.searchsorted(last, top), len(last) - 1)] == top
+
     @F.arrow_udf("array<long>")
     def leading(regions: pa.Array, lengths: pa.Array, sizes: pa.Array) -> pa.Array:
         """The prefix, or NULL where the region has too few shingles that do not come last."""
         out = []
-        for r, p, n in zip(regions, lengths.to_numpy(), sizes.to_numpy()):
-            v = r.values.to_numpy()
-            late = np.isin((v >> 32).astype(np.int32), last)
-            first = v[~late][:p]
+        values = regions.flatten().to_numpy()
+        late, bounds = are_last(values), np.concatenate([[0], np.cumsum(regions.value_lengths().to_numpy())])
+        for k, (p, n) in enumerate(zip(lengths.to_numpy(), sizes.to_numpy())):
+            v, is_late = values[bounds[k] : bounds[k + 1]], late[bounds[k] : bounds[k + 1]]
+            first = v[~is_late][:p]
             if len(first) < p:
-                if len(v) < n:
-                    out.append(None)
-                    continue
-                first = np.concatenate([first, v[late]])[:p]
-            out.append(first.tolist())
+                first = np.concatenate([first, v[is_late]])[:p] if len(v) == n else None
+            out.append(first)
         return pa.array(out, pa.list_(pa.int64()))
 
     @F.arrow_udf("array<long>")
@@ -263,8 +275,8 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         out = []
         for b, p in zip(blobs, lengths.to_numpy()):
             v = np.frombuffer(b.as_buffer(), np.uint64).view(np.int64)
-            late = np.isin((v >> 32).astype(np.int32), last)
-            out.append(np.concatenate([v[~late], v[late]])[:p].tolist())
+            late = are_last(v)
+            out.append(np.concatenate([v[~late], v[late]])[:p])
         return pa.array(out, pa.list_(pa.int64()))
 
     p = prefix_length(F.col("n"), percent).cast("long")
@@ -277,16 +289,13 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         prefixes = led.filter("prefix is not null").select("cls", "n", "prefix").unionByName(
             store(whole.select("cls", "n", leading_of_all("shingles", p).alias("prefix")), "jaccard-prefixes")
         )
-    postings = store(
-        prefixes.select("cls", "n", F.posexplode("prefix").alias("place", "shingle")).repartition("shingle"), "jaccard-postings"
-    )
-    lengths = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    short = lengths.filter(F.col("members") <= short_list).select("shingle")
-    long_ = lengths.filter(F.col("members") > short_list).select("shingle")
-    pairs = list_pairs(postings.join(short, "shingle", "left_semi"), percent)
-    pairs = store(pairs, "jaccard-pairs")
+    every = prefixes.select("cls", "n", F.posexplode("prefix").alias("place", "shingle"))
+    lengths = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    # Most shingles are one class's only; what is left is small.
+    postings = store(every.join(lengths, "shingle"), "jaccard-postings")
+    pairs = store(list_pairs(postings.filter(F.col("members") <= short_list), percent), "jaccard-pairs")
     crowded = store(
-        postings.join(long_, "shingle", "left_semi").select("cls").distinct().join(classes.select("cls", "doc_id", "n"), "cls"),
+        postings.filter(F.col("members") > short_list).select("cls").distinct().join(classes.select("cls", "doc_id", "n"), "cls"),
         "jaccard-crowded",
     )
     in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
