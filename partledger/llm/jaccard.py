@@ -25,6 +25,9 @@ FREQUENT = 100_000
 BROADCAST_ROWS = 500_000
 #: Members that are compared with one pivot in one group.
 CHUNK = 64
+#: Classes, and shingles of all of them, in one group of candidates that is compared in one go.
+GROUP_CLASSES = 512
+GROUP_SHINGLES = 2_000_000
 
 
 def prefix_length(n: Column, percent: int) -> Column:
@@ -53,7 +56,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
             for n in counts:
                 own = values[end : end + n]
                 end += n
-                keep = min(n, (n - -(-n * percent // 100) + 1) * 3 // 2 + 8) if n else 0
+                keep = min(n, (n - -(-n * percent // 100) + 1) * 5 // 4 + 8) if n else 0
                 cls_all.append(_set_hash(own))
                 parts.append(own[:keep])
                 sizes.append(keep)
@@ -76,7 +79,10 @@ def _set_hash(values: np.ndarray) -> int:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``cls, shingles`` (8 bytes each) of the classes in ``wanted`` (``doc_id, cls``)."""
+    """``cls, shingles`` (8 bytes each) of the classes in ``wanted`` (``doc_id, cls`` and columns to keep).
+
+    A repeated row of ``docs`` gives a class twice.
+    """
 
     @F.arrow_udf("cls long, shingles binary")
     def full(texts: pa.Array) -> pa.Array:
@@ -91,7 +97,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, widt
                 blobs.append(own.tobytes())
         return pa.StructArray.from_arrays([pa.array(cls_all, pa.int64()), pa.array(blobs, pa.binary())], ["cls", "shingles"])
 
-    picked = store(wanted.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls")), "jaccard-wanted")
+    extra = [c for c in wanted.columns if c not in ("doc_id", "cls")]
+    picked = store(
+        wanted.select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls"), *extra), "jaccard-wanted"
+    )
     # Ids of a known number: few enough are sent to the texts, else texts and ids are shuffled.
     if picked.count() <= BROADCAST_ROWS:
         picked = F.broadcast(picked)
@@ -99,9 +108,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, widt
     # Not deterministic for the planner: else the comparison below would become a join key,
     # and every text would be cut into shingles before the join.
     full = full.asNondeterministic()
-    rows = texts.join(picked, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_cls", full("text").alias("s"))
+    rows = texts.join(picked, F.col("doc_id").eqNullSafe(F.col("_id"))).select("_cls", *extra, full("text").alias("s"))
     # An id given to several texts brings them all; the set's hash tells which one is meant.
-    return rows.filter(F.col("_cls") == F.col("s.cls")).select("s.*").dropDuplicates(["cls"])
+    return rows.filter(F.col("_cls") == F.col("s.cls")).select("s.*", *extra)
 
 
 def list_pairs(postings: DataFrame, percent: int) -> DataFrame:
@@ -160,6 +169,55 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sorted_rows.select(F.col("a").cast("string").alias("a"), "b", "shingles").mapInPandas(compared, "a long, b long")
 
 
+def verify_groups(
+    docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links among ``pairs`` inside groups of candidates of bounded size, and the pairs of larger groups.
+
+    Classes that pairs connect form a group. Each set goes to its group once, with the
+    classes it is to be compared with.
+    """
+    labels = components(pairs).join(classes, "cls")
+    fits = (
+        labels.groupBy("component")
+        .agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+        .filter((F.col("members") <= GROUP_CLASSES) & (F.col("shingles") <= GROUP_SHINGLES))
+        .select("component")
+    )
+    near = store(labels.join(fits, "component", "left_semi").select("cls", "doc_id", "component"), "jaccard-near")
+    inside = near.select(F.col("cls").alias("b"))
+    partners = (
+        pairs.join(inside, "b", "left_semi").groupBy(F.col("b").alias("cls")).agg(F.collect_list("a").alias("partners"))
+    )
+    wanted = near.join(partners, "cls", "left")
+    sets = sets_of(docs, wanted, id_col, text_col, width)
+
+    def links_of(group: dict[int, np.ndarray], tasks: list[tuple[int, list[int]]]) -> Iterator[tuple[int, int]]:
+        for b, others in tasks:
+            for a in others:
+                both = len(np.intersect1d(group[a], group[b], assume_unique=True))
+                if 100 * both >= percent * (len(group[a]) + len(group[b]) - both):
+                    yield a, b
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, group, tasks = None, {}, []
+        for pdf in batches:
+            out: list[tuple[int, int]] = []
+            for component, cls, others, blob in zip(pdf["component"], pdf["cls"], pdf["partners"], pdf["shingles"]):
+                if component != current:
+                    out.extend(links_of(group, tasks))
+                    current, group, tasks = component, {}, []
+                group[cls] = np.frombuffer(blob, np.uint64)
+                if others is not None:
+                    tasks.append((cls, list(others)))
+            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        yield pd.DataFrame(list(links_of(group, tasks)), columns=["a", "b"]).astype("int64")
+
+    rows = sets.select("component", "cls", "partners", "shingles").repartition("component").sortWithinPartitions("component")
+    links = store(rows.mapInPandas(compared, "a long, b long"), "jaccard-links")
+    return links, pairs.join(inside, "b", "left_anti")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``cls, component`` of every class in a link ``a, b``: the smallest class reachable.
 
@@ -221,12 +279,21 @@ def similar_documents(
     columns are ignored. An empty table gives no rows.
     """
     signed = store(signatures(docs, id_col, text_col, width, percent), "jaccard-signatures")
-    # One row a class: its smallest id and a region, which all its rows share.
+    full = signed.filter("n > 0")
     classes = store(
-        signed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("region").alias("region")),
-        "jaccard-classes",
+        full.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-classes"
+    )
+    # All rows of a class but that of its smallest id: few, while the regions are many.
+    least = classes.select(F.col("cls").alias("_cls"), F.col("doc_id").alias("_least"))
+    others = store(
+        full.select("cls", "doc_id")
+        .join(least, F.col("cls") == F.col("_cls"))
+        .filter(~F.col("doc_id").eqNullSafe(F.col("_least")))
+        .select(F.col("cls").alias("_cls"), F.col("doc_id").alias("_id")),
+        "jaccard-copies",
     )
-    links = class_links(docs, classes, id_col, text_col, width, percent, short_list)
+    regions = full.join(others, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    links = class_links(docs, classes, regions, id_col, text_col, width, percent, short_list)
     labels = components(links)
     named = classes.select("cls", F.col("doc_id").alias("least")).join(labels, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
@@ -243,10 +310,10 @@ def similar_documents(
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int) -> DataFrame:
+def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int) -> DataFrame:
     """Links ``a, b`` between classes that connect the same classes as all links do."""
     # 32 bits are enough to say which shingles come last: any such choice keeps the join exact.
-    counted = classes.select(F.explode("region").alias("s")).groupBy(F.shiftright("s", 32).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("c"))
+    counted = regions.select(F.explode("region").alias("s")).groupBy(F.shiftright("s", 32).cast("int").alias("s")).agg(F.count(F.lit(1)).alias("c"))
     frequent = [r["s"] for r in counted.filter(F.col("c") >= short_list).orderBy(F.col("c").desc(), "s").limit(FREQUENT).collect()]
     last = np.sort(np.array(frequent, np.int32))
 
@@ -280,12 +347,12 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         return pa.array(out, pa.list_(pa.int64()))
 
     p = prefix_length(F.col("n"), percent).cast("long")
-    led = store(classes.select("cls", "doc_id", "n", leading("region", p, "n").alias("prefix")), "jaccard-prefixes")
+    led = store(regions.select("cls", "doc_id", "n", leading("region", p, "n").alias("prefix")), "jaccard-prefixes")
     rest = led.filter("prefix is null").select("cls", "doc_id", "n")
     if rest.isEmpty():
         prefixes = led.select("cls", "n", "prefix")
     else:
-        whole = sets_of(docs, rest, id_col, text_col, width).join(rest.select("cls", "n"), "cls")
+        whole = sets_of(docs, rest, id_col, text_col, width)
         prefixes = led.filter("prefix is not null").select("cls", "n", "prefix").unionByName(
             store(whole.select("cls", "n", leading_of_all("shingles", p).alias("prefix")), "jaccard-prefixes")
         )
@@ -298,14 +365,24 @@ def class_links(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
         postings.filter(F.col("members") > short_list).select("cls").distinct().join(classes.select("cls", "doc_id", "n"), "cls"),
         "jaccard-crowded",
     )
-    in_pairs = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = in_pairs.join(classes.select("cls", "doc_id"), "cls").unionByName(crowded.select("cls", "doc_id")).distinct()
+    links, more = verify_groups(docs, pairs, classes, id_col, text_col, width, percent)
+    more = store(more, "jaccard-more")
+    wanted = (
+        more.select(F.explode(F.array("a", "b")).alias("cls"))
+        .distinct()
+        .join(classes.select("cls", "doc_id"), "cls")
+        .unionByName(crowded.select("cls", "doc_id"))
+        .distinct()
+    )
+    wanted = store(wanted, "jaccard-wanted")
+    if wanted.isEmpty():
+        return links
     sets = store(sets_of(docs, wanted, id_col, text_col, width), "jaccard-sets")
-    links = store(verify(pairs, sets, percent), "jaccard-links")
+    links = links.unionByName(store(verify(more, sets, percent), "jaccard-links"))
     if crowded.isEmpty():
         return links
 
-    crowded_sets = crowded.select("cls", "n").join(sets, "cls")
+    crowded_sets = crowded.select("cls", "n").join(sets, "cls").dropDuplicates(["cls"])
 
     @F.arrow_udf("array<long>")
     def as_longs(blobs: pa.Array) -> pa.Array:
