@@ -18,7 +18,7 @@ from partledger.llm.words import pieces, shingle_sets
 WIDTH = 4
 PERCENT = 85
 #: Posting lists up to this length are paired as they are; longer ones are ordered anew.
-SHORT_LIST = 32
+SHORT_LIST = 64
 #: The most frequent shingles that come last in the order, at most.
 FREQUENT = 100_000
 #: Ids that are broadcast to find their texts, at most (16 bytes each).
@@ -382,24 +382,24 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
     if crowded.isEmpty():
         return links
 
-    crowded_sets = crowded.select("cls", "n").join(sets, "cls").dropDuplicates(["cls"])
+    crowded_sets = sets.join(crowded.select("cls", "n"), "cls")
+    if crowded_sets.count() > crowded.count():  # repeated rows
+        crowded_sets = crowded_sets.dropDuplicates(["cls"])
 
     @F.arrow_udf("array<long>")
     def as_longs(blobs: pa.Array) -> pa.Array:
         return pa.array([np.frombuffer(b.as_buffer(), np.uint64).view(np.int64) for b in blobs], pa.list_(pa.int64()))
 
     # Their shingles meet once more, to be counted; then each class takes its rarest ones.
-    tokens = store(
-        crowded_sets.select("cls", "n", F.explode(as_longs("shingles")).alias("shingle")), "jaccard-tokens"
-    )
+    tokens = crowded_sets.select("cls", "n", F.explode(as_longs("shingles")).alias("shingle"))
     common = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    known = tokens.join(common, "shingle")
     # Shingles of one class alone come first; how many there are is what is missing from n.
-    shared = Window.partitionBy("cls").orderBy("c", "shingle")
-    ranked = known.withColumn("rank", F.row_number().over(shared))
-    own = known.groupBy("cls").agg(F.count(F.lit(1)).alias("shared"), F.sum("c").alias("weight"))
+    mine = Window.partitionBy("cls")
     fresh = (
-        ranked.join(own, "cls")
+        tokens.join(common, "shingle")
+        .withColumn("rank", F.row_number().over(mine.orderBy("c", "shingle")))
+        .withColumn("shared", F.count(F.lit(1)).over(mine))
+        .withColumn("weight", F.sum("c").over(mine))
         .withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
         .filter(F.col("place") < prefix_length(F.col("n"), percent))
         .select("shingle", "cls", "n", "place", (F.col("weight") / F.col("n")).alias("centre"))
