@@ -172,24 +172,39 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def verify_groups(
     docs: DataFrame, pairs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Links among ``pairs`` inside groups of candidates of bounded size, and the pairs of larger groups.
+    """Links among ``pairs`` that fall into groups of bounded size, and the pairs of larger groups.
 
-    Classes that pairs connect form a group. Each set goes to its group once, with the
-    classes it is to be compared with.
+    A pair goes to the group of the smallest class next to either side, so families of copies
+    mostly share one group, and chains of candidates do not join families. A set goes once to
+    each group that has a pair of it, with the classes it is to be compared with.
     """
-    labels = components(pairs).join(classes, "cls")
-    fits = (
-        labels.groupBy("component")
+    sides = pairs.select(F.col("a").alias("cls"), F.col("b").alias("other")).unionByName(
+        pairs.select(F.col("b").alias("cls"), F.col("a").alias("other"))
+    )
+    least = store(sides.groupBy("cls").agg(F.least("cls", F.min("other")).alias("near")), "jaccard-nearest")
+    grouped = store(
+        pairs.join(least.select(F.col("cls").alias("a"), F.col("near").alias("na")), "a")
+        .join(least.select(F.col("cls").alias("b"), F.col("near").alias("nb")), "b")
+        .select("a", "b", F.least("na", "nb").alias("component")),
+        "jaccard-grouped",
+    )
+    members = (
+        grouped.select("component", F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
+    )
+    fits = store(
+        members.groupBy("component")
         .agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
         .filter((F.col("members") <= GROUP_CLASSES) & (F.col("shingles") <= GROUP_SHINGLES))
-        .select("component")
+        .select("component"),
+        "jaccard-fits",
     )
-    near = store(labels.join(fits, "component", "left_semi").select("cls", "doc_id", "component"), "jaccard-near")
-    inside = near.select(F.col("cls").alias("b"))
     partners = (
-        pairs.join(inside, "b", "left_semi").groupBy(F.col("b").alias("cls")).agg(F.collect_list("a").alias("partners"))
+        grouped.join(fits, "component", "left_semi")
+        .groupBy("component", F.col("b").alias("cls"))
+        .agg(F.collect_list("a").alias("partners"))
     )
-    wanted = near.join(partners, "cls", "left")
+    near = members.join(fits, "component", "left_semi").select("component", "cls", "doc_id")
+    wanted = near.join(partners, ["component", "cls"], "left")
     sets = sets_of(docs, wanted, id_col, text_col, width)
 
     def links_of(group: dict[int, np.ndarray], tasks: list[tuple[int, list[int]]]) -> Iterator[tuple[int, int]]:
@@ -215,7 +230,7 @@ def verify_groups(
 
     rows = sets.select("component", "cls", "partners", "shingles").repartition("component").sortWithinPartitions("component")
     links = store(rows.mapInPandas(compared, "a long, b long"), "jaccard-links")
-    return links, pairs.join(inside, "b", "left_anti")
+    return links, grouped.join(fits, "component", "left_anti").select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
