@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +59,15 @@ def words_of(text: Column) -> Column:
 def crc_mod(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of fewer rows for the jobs that run inside, so that workers stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

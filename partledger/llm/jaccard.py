@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from partledger.llm.common import store
+from partledger.llm.common import small_batches, store
 from partledger.llm.words import pieces, shingle_sets
 
 #: Words in a shingle, and the similarity of linked documents in percent.
@@ -58,7 +58,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
                 end += n
                 keep = min(n, (n - -(-n * percent // 100) + 1) * 5 // 4 + 8) if n else 0
                 cls_all.append(_set_hash(own))
-                parts.append(own[:keep])
+                parts.append(own[:keep].copy())
                 sizes.append(keep)
             n_all.append(counts)
         flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
@@ -293,6 +293,14 @@ def similar_documents(
     takes part, but is never the smallest: it gets its component's id, or NULL alone. Other
     columns are ignored. An empty table gives no rows.
     """
+    with small_batches(docs.sparkSession):
+        return _similar_documents(docs, id_col, text_col, width, percent, short_list)
+
+
+def _similar_documents(
+    docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int
+) -> DataFrame:
+    """All jobs that run Python run in here; the result joins stored tables."""
     signed = store(signatures(docs, id_col, text_col, width, percent), "jaccard-signatures")
     full = signed.filter("n > 0")
     classes = store(

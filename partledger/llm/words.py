@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 WHITESPACE = (9, 10, 11, 12, 13, 32)
 
 
