@@ -132,14 +132,14 @@ def _(t):
     """
     SELECT c.uf, c.PA_CODUNI, c.period, c.n, s.NO_FANTASI AS name FROM (
       SELECT uf, lpad(cast(l_suppkey AS varchar), 7, '0') AS PA_CODUNI, strftime(l_shipdate, '%Y%m') AS period, count(*) AS n FROM lines GROUP BY 1, 2, 3) c
-    LEFT JOIN (SELECT DISTINCT CNES, COMPETEN, NO_FANTASI FROM snapshots WHERE uf = 'UA') s ON c.PA_CODUNI = s.CNES AND c.period = s.COMPETEN
+    LEFT JOIN (SELECT uf, CNES, COMPETEN, NO_FANTASI FROM snapshots) s ON c.uf = s.uf AND c.PA_CODUNI = s.CNES AND c.period = s.COMPETEN
     """,
 )
 def _(t):
     code = F.lpad(F.col("l_suppkey").cast("string"), 7, "0")
     rows = t.lines.select("uf", code.alias("PA_CODUNI"), F.date_format("l_shipdate", "yyyyMM").alias("period"))
     counts = analytics.count_by(rows, ["uf", "PA_CODUNI", "period"])
-    return analytics.name_establishments(counts, t.snapshots.filter("uf = 'UA'"))
+    return analytics.name_establishments(counts, t.snapshots, by=["uf"])
 
 
 _MONTHS = {"months": "SELECT DISTINCT CNES, ano * 12 + mes - 1 AS i FROM snapshots"}
@@ -172,15 +172,15 @@ def _(t):
     return analytics.presence_gaps(t.snapshots)
 
 
-@register("inventory", "snapshots", "SELECT TP_UNID, uf, ano, count(*) AS establishments FROM snapshots GROUP BY TP_UNID, uf, ano")
+@register("inventory", "snapshots", "SELECT COMPETEN, TP_UNID, uf, count(*) AS establishments FROM snapshots GROUP BY ALL")
 def _(t):
-    return analytics.inventory(t.snapshots, ["TP_UNID", "uf", "ano"])
+    return analytics.inventory(t.snapshots)
 
 
 @register(
     "beds_by_municipality",
     "snapshots",
-    "SELECT CODUFMUN, cast(sum(coalesce(QTLEIT01, 0) + coalesce(QTLEIT02, 0)) AS bigint) AS beds FROM snapshots GROUP BY CODUFMUN",
+    "SELECT COMPETEN, CODUFMUN, cast(sum(coalesce(QTLEIT01, 0) + coalesce(QTLEIT02, 0)) AS bigint) AS beds FROM snapshots GROUP BY ALL",
 )
 def _(t):
     return analytics.beds_by_municipality(t.snapshots, ["QTLEIT01", "QTLEIT02"])

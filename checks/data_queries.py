@@ -324,16 +324,21 @@ def _(t):
 
 @register(
     "scan_records",
-    sql="SELECT event_type, count(*) AS n, cast(sum(user_id) AS bigint) AS users, cast(sum(length(props)) AS bigint) AS chars FROM events GROUP BY event_type",
+    sql="SELECT event_type, count(*) AS n, cast(sum(user_id) AS bigint) AS users, cast(sum(length(props)) AS bigint) AS chars,"
+    " max(value) AS largest, cast(sum(round(value * 1000)) AS bigint) AS thousandths, min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last FROM events GROUP BY event_type",
 )
 def _(t):
-    fields = t.events.select("event_id", "user_id", "event_type", "props")
+    fields = t.events
     path = t.once("ndjson", fields.write.json)
     data = records.scan_records(t.spark, path, fields.schema)
     return data.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("user_id").alias("users"),
         F.sum(F.length("props").cast("bigint")).alias("chars"),
+        F.max("value").alias("largest"),
+        F.sum(F.round(F.col("value") * 1000).cast("bigint")).alias("thousandths"),
+        F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("first"),
+        F.max(F.unix_micros(F.col("ts").cast("timestamp"))).alias("last"),
     )
 
 

@@ -159,7 +159,7 @@ CTES = {
              lpad(cast(l_suppkey % 9 AS varchar(2)), 2, '0') AS TP_UNID,
              concat('12', lpad(cast(l_suppkey % 40 AS varchar(4)), 4, '0')) AS CODUFMUN,
              count(*) AS QTLEIT01, CASE WHEN min(l_linenumber) > 1 THEN NULL ELSE max(l_linenumber) END AS QTLEIT02
-      FROM lines WHERE l_returnflag <> 'N' GROUP BY uf, ano, mes, l_suppkey
+      FROM lines GROUP BY uf, ano, mes, l_suppkey
     """,
     "municipalities": """
       SELECT concat('12', lpad(cast(s_suppkey % 40 AS varchar(4)), 4, '0'), cast(s_suppkey % 40 % 10 AS varchar(1))) AS code,

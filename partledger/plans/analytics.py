@@ -143,17 +143,18 @@ def hospital_mortality(
 
 
 def name_establishments(
-    counts: DataFrame, establishments: DataFrame, code: str = "PA_CODUNI"
+    counts: DataFrame, establishments: DataFrame, code: str = "PA_CODUNI", by: Sequence[str] = ()
 ) -> DataFrame:
     """Adds the establishment name for the same period; unknown codes keep NULL.
 
     Join on aggregated counts, so that each code travels once. Leading zeros matter:
-    both sides are strings.
+    both sides are strings. ``by`` names further columns that must agree, where a register
+    of several units lists a code once per unit.
     """
     registry = establishments.select(
-        F.col("CNES").alias(code), F.col("COMPETEN").alias("period"), F.col("NO_FANTASI").alias("name")
+        F.col("CNES").alias(code), F.col("COMPETEN").alias("period"), *by, F.col("NO_FANTASI").alias("name")
     )
-    return counts.join(registry, [code, "period"], "left")
+    return counts.join(registry, [*by, code, "period"], "left")
 
 
 def establishment_presence(snapshots: DataFrame, entity: str = "CNES") -> DataFrame:
@@ -198,17 +199,20 @@ def presence_gaps(snapshots: DataFrame, entity: str = "CNES") -> DataFrame:
 
 
 def inventory(snapshots: DataFrame, by: Sequence[str] = ("TP_UNID", "uf")) -> DataFrame:
-    """Establishments per type and unit."""
-    return snapshots.groupBy(*by).agg(F.count(F.lit(1)).alias("establishments"))
+    """Establishments per period, type and unit.
+
+    Monthly snapshots repeat an establishment each month, so counts never add up over periods.
+    """
+    return snapshots.groupBy("COMPETEN", *by).agg(F.count(F.lit(1)).alias("establishments"))
 
 
 def beds_by_municipality(snapshots: DataFrame, bed_cols: Sequence[str]) -> DataFrame:
-    """Total of the bed columns (missing ones count as zero) per municipality."""
+    """Total of the bed columns (missing ones count as zero) per period and municipality."""
     total = None
     for c in bed_cols:
         value = F.coalesce(F.col(c), F.lit(0))
         total = value if total is None else total + value
-    return snapshots.groupBy("CODUFMUN").agg(F.sum(total).alias("beds"))
+    return snapshots.groupBy("COMPETEN", "CODUFMUN").agg(F.sum(total).alias("beds"))
 
 
 def municipality_code(code: Column) -> Column:

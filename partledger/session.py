@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,10 +37,14 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared directory named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local tests) is a temporary folder used.
+    A cluster must name one: each machine would write to its own disk otherwise. In a local
+    session, where there is one disk, a temporary folder stands in for an absent setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/partledger-{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex[:12]}"
@@ -57,21 +60,3 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     df.write.option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Rows of a small input dealt out evenly over the cores; larger inputs are left alone.
-
-    A file of one row group is read by a single task however many cores there are. Below
-    one gigabyte moving its rows costs less than hashing them one after another; above it
-    the scan has splits enough and no row is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= SMALL_INPUT_BYTES or cores == 1:
-        return df
-    # By position, not by value: copies of one row spread out, and nothing has to be sorted.
-    return df.repartition(cores, F.monotonically_increasing_id())

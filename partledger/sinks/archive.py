@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partledger.functions.names import two_digits
-from partledger.sources.listings import scan_local_tree
+from partledger.session import store
 from partledger.spec import KEY, ROW_GROUP_ROWS, SIA_PA, DatasetSpec
 
 
@@ -77,29 +77,30 @@ def write_lineage_then_data(
 ) -> DataFrame:
     """Lineage first, then the data it describes; returns the status of each target.
 
-    Targets whose record could not be built (``record_text`` NULL) get no data and are
-    reported as failed; the others are written. A failure between the two writes leaves
-    records without data, never data without a record, and a rerun redoes both.
+    Targets whose record could not be built (``record_text`` NULL) are ``failed`` and those
+    without a row ``empty``: neither gets a record or data, so both stay pending. The others
+    are ``written``. A failure between the two writes leaves records without data, never data
+    without a record, and a rerun redoes both. Records are kept apart by unit and month, so
+    one unit's run leaves the others' alone.
     """
-    ready = records.filter(F.col("record_text").isNotNull())
+    built = records.filter(F.col("record_text").isNotNull()).select(*KEY, "record_text")
+    # One small row per target; the data itself is only written once it is known.
+    filled = store(data.join(built.select(*KEY), KEY, "left_semi").select(*KEY).distinct(), "filled")
+    ready = built.join(filled, KEY, "left_semi")
     (
-        ready.select(*KEY, "record_text")
-        .write.mode("overwrite")
+        ready.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ano", "mes")
+        .partitionBy("ano", "mes", "uf")
         .parquet(lineage_root)
     )
-    write_partitions(data.join(ready.select(*KEY), KEY, "left_semi"), data_root, spec)
-    return records.select(
-        *KEY,
-        F.when(F.col("record_text").isNull(), F.lit("failed")).otherwise(F.lit("written")).alias("status"),
+    write_partitions(data.join(filled, KEY, "left_semi"), data_root, spec)
+    seen = filled.withColumn("_filled", F.lit(True))
+    status = (
+        F.when(F.col("record_text").isNull(), F.lit("failed"))
+        .when(F.col("_filled"), F.lit("written"))
+        .otherwise(F.lit("empty"))
     )
-
-
-def split_publishable(data: DataFrame, approved: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Staged rows of approved partitions, and those set aside."""
-    keys = approved.select(*KEY).distinct()
-    return data.join(keys, KEY, "left_semi"), data.join(keys, KEY, "left_anti")
+    return records.join(seen, KEY, "left").select(*KEY, status.alias("status"))
 
 
 def quarantine_rejected(
@@ -128,8 +129,3 @@ def divert_unchanged(data: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, D
         *KEY, F.lit("unchanged").alias("status"), "fingerprint", "published_at"
     )
     return data.join(changed, KEY, "left_semi"), markers
-
-
-def published_sizes(spark: SparkSession, root: str) -> DataFrame:
-    """``uf, ano, mes, bytes`` of the data below a dataset root."""
-    return scan_local_tree(spark, root).select(*KEY, "bytes")

@@ -517,3 +517,31 @@ def test_lineage_type_names(spark):
     assert lineage.type_name(spark.range(1).schema["id"].dataType) == "BIGINT"
     assert delta.newest_period(spark.createDataFrame([], "period string")).first().newest is None
     assert ls.parse_years("2024") == [2024]
+
+
+def test_lineage_of_other_units_stays_and_empty_targets_stay_pending(spark, tmp_path):
+    from partledger.operators import delta
+    from partledger.sinks import archive as sink
+
+    lineage_root, data_root = str(tmp_path / "lineage"), str(tmp_path / "data")
+    schema = "PA_CMP string, PA_CODUNI string, PA_QTDPRO bigint, uf string, ano int, mes int"
+    status = []
+    for units in (["AC", "SP"], ["RJ", "MG"]):
+        texts = spark.createDataFrame([(u, 2024, 1, "{}") for u in units], "uf string, ano int, mes int, record_text string")
+        data = spark.createDataFrame([("202401", "1", 1, u, 2024, 1) for u in units if u != "MG"], schema)
+        result = sink.write_lineage_then_data(texts, data, lineage_root, data_root)
+        status += rows(result, "uf", "status")
+        assert "MG" not in {r.uf for r in delta.archived_status(result).collect()}
+    assert status == [("AC", "written"), ("SP", "written"), ("MG", "empty"), ("RJ", "written")]
+    assert rows(spark.read.parquet(lineage_root), "uf") == [("AC",), ("RJ",), ("SP",)]
+    assert rows(records.scan_dataset(spark, data_root), "uf") == [("AC",), ("RJ",), ("SP",)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from partledger.session import shared_folder
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(cluster, "x")
