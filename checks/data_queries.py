@@ -329,7 +329,8 @@ def _(t):
 )
 def _(t):
     fields = t.events
-    path = t.once("ndjson", fields.write.json)
+    # Written to the microsecond: the writer's own pattern stops at milliseconds.
+    path = t.once("ndjson", fields.write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json)
     data = records.scan_records(t.spark, path, fields.schema)
     return data.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"),
