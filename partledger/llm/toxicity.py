@@ -130,7 +130,7 @@ def learn(
             folded = fold(t)
             words = sorted({w for w in folded.split() if len(w) >= TERM_LENGTHS[0]})
             h = np.array([xxhash.xxh3_64_intdigest(w) >> 1 for w in words] or [0], np.uint64)
-            # Four minimum hashes of the words: copies agree in one or more.
+            # Four minimum hashes of the words: copies agree in most.
             marks = [int((h * np.uint64(k) >> np.uint64(1)).min()) for k in (3, 0x9E3779B1, 0x85EBCA77C2B2AE3D, 0xC2B2AE3D27D4EB4F)]
             rows.append({"terms": sorted(terms_of(folded)), "words": words, "marks": marks})
         return pa.array(rows, described_type)
@@ -170,11 +170,13 @@ def learn(
         .collect()
     )
     marks = {r["doc_id"]: r["marks"] for r in made.filter("toxic = 1").select("doc_id", "marks").collect()}
+    # Documents that agree in two minimum hashes count as copies of one another.
+    halves = lambda m: ((0, m[0], m[1]), (1, m[2], m[3]))
     alike: dict[tuple, int] = {}
     for m in marks.values():
-        for k in enumerate(m):
+        for k in halves(m):
             alike[k] = alike.get(k, 0) + 1
-    worth = {d: 1 / max(alike[k] for k in enumerate(m)) for d, m in marks.items()}
+    worth = {d: 1 / max(alike[k] for k in halves(m)) for d, m in marks.items()}
 
     found = {r["term"]: r for r in has}
     chosen: dict[str, float] = {}
