@@ -25,6 +25,11 @@ def visible_lines(html: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x)), lambda x: x != "")
 
 
+def line_digest(line: Column) -> Column:
+    """16 bytes that stand for a line while lines are counted and looked up."""
+    return F.unhex(F.md5(line.cast("binary")))
+
+
 def drop_boilerplate(
     pages: DataFrame,
     id_col: str = "page_id",
@@ -38,37 +43,38 @@ def drop_boilerplate(
     For each host, the pages that contain a line are divided by the host's pages. Lines above
     ``max_ratio`` are dropped wherever they stand; the rest stay in order, also if repeated
     within a page. Lines are counted once a page and summed where they are read, so a line on
-    every page of a hot host moves one row per task. A host cannot have more boilerplate lines
-    than lines on its average page divided by ``max_ratio``, so its list is one small array.
+    every page of a hot host moves one row per task; MD5 digests stand for the lines, so no text
+    is shuffled to be counted. A host cannot have more boilerplate lines than lines on its
+    average page divided by ``max_ratio``, so its list is one small array. The lists are stored:
+    by their known size Spark sends them to the pages, or beyond its broadcast limit joins by
+    host and splits hot hosts.
 
     NULL urls and urls without ``://`` share the empty host; NULL and empty pages have no lines
     but count as pages; repeated rows count each. Other columns are ignored. An empty table
     gives no rows.
     """
-    lines = store(
-        pages.select(
-            F.col(id_col).alias("page_id"),
-            url_host(F.col(url_col)).alias("host"),
-            visible_lines(F.col(html_col)).alias("lines"),
-        ),
-        "page-lines",
+    lines = pages.select(
+        F.col(id_col).alias("page_id"),
+        url_host(F.col(url_col)).alias("host"),
+        visible_lines(F.col(html_col)).alias("lines"),
     )
-    totals = lines.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    totals = pages.groupBy(url_host(F.col(url_col)).alias("host")).agg(F.count(F.lit(1)).alias("host_pages"))
     counts = (
-        lines.select("host", F.explode(F.array_distinct("lines")).alias("line"))
+        lines.select("host", F.explode(F.transform(F.array_distinct("lines"), line_digest)).alias("line"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("line_pages"))
     )
-    boiler = (
+    boiler = store(
         counts.filter(F.col("line_pages") >= min_pages)
         .join(totals, "host")
         .filter(F.col("line_pages") > F.lit(max_ratio) * F.col("host_pages"))
         .groupBy(F.col("host").alias("_site"))
-        .agg(F.collect_list("line").alias("boiler"))
+        .agg(F.collect_list("line").alias("boiler")),
+        "boilerplate",
     )
     joined = lines.join(boiler, F.col("host") == F.col("_site"), "left")
-    drop = F.coalesce("boiler", F.array().cast("array<string>"))
-    kept = F.filter("lines", lambda x: ~F.array_contains(drop, x))
+    others = F.filter("lines", lambda x: ~F.array_contains("boiler", line_digest(x)))
+    kept = F.when(F.col("boiler").isNull(), F.col("lines")).otherwise(others)
     return joined.withColumn("kept", kept).select(
         "page_id",
         "host",
