@@ -217,6 +217,12 @@ _OUTCOMES = """
              FROM chosen f JOIN headers h ON f.name = h.name GROUP BY f.uf, f.ano, f.mes) h ON b.uf = h.uf AND b.ano = h.ano AND b.mes = h.mes
 """
 FINISHING = {**BUDGETING, "run_outcomes": _OUTCOMES}
+# Partitions with a source that was not read, or not at its listed size.
+_FAULTS = """
+  SELECT uf, ano, mes, arg_min(p, position) FILTER (p IS NOT NULL) AS problem
+  FROM (SELECT f.*, CASE WHEN k.name IS NULL THEN 'unreadable' WHEN k.bytes <> f.size THEN 'size-changed' END AS p
+        FROM chosen f LEFT JOIN cache k ON f.name = k.name) q GROUP BY uf, ano, mes HAVING count(p) > 0
+"""
 
 
 def _run_outcomes(t: Inputs):
@@ -601,8 +607,18 @@ def _(t):
 @register(
     "provenance_catchup_job",
     "stored listing state cache staged headers",
-    "SELECT outcome, reason, count(*) AS n FROM run_outcomes GROUP BY outcome, reason",
-    FINISHING,
+    """
+    SELECT r.uf, r.ano, r.mes, coalesce(s.outcome, r.outcome) AS outcome, coalesce(s.problem, r.reason) AS reason,
+           CASE WHEN coalesce(s.outcome, r.outcome) = 'written' THEN d.sources END AS sources
+    FROM run_outcomes r
+    LEFT JOIN (SELECT f.uf, f.ano, f.mes, 'failed' AS outcome, f.problem FROM source_faults f
+               JOIN budgeted b ON b.uf = f.uf AND b.ano = f.ano AND b.mes = f.mes WHERE b.decision = 'selected') s
+      ON s.uf = r.uf AND s.ano = r.ano AND s.mes = r.mes
+    LEFT JOIN (SELECT f.uf, f.ano, f.mes, string_agg(concat_ws(' ', f.name, k.bytes, k.sha256, k.mtime), ',' ORDER BY f.position) AS sources
+               FROM chosen f JOIN cache k ON f.name = k.name GROUP BY f.uf, f.ano, f.mes) d
+      ON d.uf = r.uf AND d.ano = r.ano AND d.mes = r.mes
+    """,
+    {**FINISHING, "source_faults": _FAULTS},
 )
 def _(t):
     def described(wanted):
@@ -613,7 +629,13 @@ def _(t):
     run = jobs.provenance_catchup(
         t.objects, t.documents_text.select("key", "text"), t.stored.filter("mes = 12 AND uf = 'UE'"), t.listing,
         t.state, t.cache.filter("name NOT LIKE 'PA__07%'"), t.headers, described, "sia-pa", F.lit(NOW), PIPELINE, "rebuilt", budget=BUDGET,
+        fetched=t.cache,
     )
-    return run.outcomes.groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("n"))
+    one = "struct<file string, bytes bigint, sha256 string, mtime string>"
+    said = F.from_json("text", f"source {one}, sources array<{one}>")
+    files = F.coalesce(F.col("said.sources"), F.array("said.source"))
+    told = F.transform(files, lambda f: F.concat_ws(" ", f["file"], f["bytes"].cast("string"), f["sha256"], f["mtime"]))
+    docs = run.documents.withColumn("said", said).select(*KEY, F.array_join(told, ",").alias("sources"))
+    return run.outcomes.join(docs, KEY, "full").select(*KEY, "outcome", "reason", "sources")
 
 

@@ -171,27 +171,51 @@ def budget_prefix_cut(items: DataFrame, budget: int) -> DataFrame:
     )
 
 
-def run_outcomes(certification: DataFrame, budgeted: DataFrame, counts: DataFrame) -> DataFrame:
+def source_faults(files: DataFrame, fetched: DataFrame) -> DataFrame:
+    """``KEY, problem``: partitions with a source that cannot be described, with the first reason.
+
+    ``files``: ``KEY, position, name, size`` as listed; ``fetched``: ``name, bytes, mtime, sha256``
+    as read.
+    """
+    read = fetched.select("name", F.col("bytes").alias("_bytes"), F.col("mtime").alias("_mtime"), F.col("sha256").alias("_sha"))
+    problem = rules.source_problem(F.col("_bytes"), F.col("size"), F.col("_sha"), F.col("_mtime"))
+    return (
+        files.join(read, "name", "left")
+        .withColumn("problem", problem)
+        .filter(F.col("problem").isNotNull())
+        .groupBy(*KEY)
+        .agg(F.min_by("problem", "position").alias("problem"))
+    )
+
+
+def run_outcomes(
+    certification: DataFrame, budgeted: DataFrame, counts: DataFrame, faults: DataFrame | None = None
+) -> DataFrame:
     """One outcome per candidate of a run: skipped (with reason), written, failed or remaining.
 
     ``counts`` is the record-count check of the selected partitions (``KEY, problem``); one
-    whose data could not be counted has failed. A failure does not stop the others.
+    whose data could not be counted has failed, as has one in ``faults`` (see
+    ``source_faults``), whose reason is its problem. A failure does not stop the others.
     """
     skipped = certification.filter(F.col("skip_reason").isNotNull()).select(
         *KEY, F.lit("skipped").alias("outcome"), F.col("skip_reason").alias("reason")
     )
     done = budgeted.join(counts.select(*KEY, "problem", F.lit(True).alias("_counted")), KEY, "left")
+    if faults is None:
+        done = done.withColumn("_fault", F.lit(None).cast("string"))
+    else:
+        done = done.join(faults.select(*KEY, F.col("problem").alias("_fault")), KEY, "left")
     bad = F.col("problem").isNotNull()
     outcome = (
         F.when(F.col("decision") != "selected", F.lit("remaining"))
-        .when(F.col("_counted").isNull(), F.lit("failed"))
+        .when(F.col("_counted").isNull() | F.col("_fault").isNotNull(), F.lit("failed"))
         .when(bad, F.lit("skipped"))
         .otherwise(F.lit("written"))
     )
     processed = done.select(
         *KEY,
         outcome.alias("outcome"),
-        F.when(outcome == "skipped", F.lit(SKIP_ROW_COUNT)).alias("reason"),
+        F.when(outcome == "skipped", F.lit(SKIP_ROW_COUNT)).when(outcome == "failed", F.col("_fault")).alias("reason"),
     )
     return skipped.unionByName(processed)
 

@@ -205,10 +205,13 @@ def provenance_catchup(
     notes: str,
     spec: DatasetSpec = SIA_PA,
     budget: int = DEFAULT_BUDGET_BYTES,
+    fetched: DataFrame | None = None,
 ) -> Catchup:
     """Retroactive provenance. Cheap table joins decide which partitions qualify before any
     data is scanned: ``described`` is called with the selected keys only and returns
-    ``KEY, rows, fingerprint, schema, sha256``.
+    ``KEY, rows, fingerprint, schema, sha256``. ``cache`` says what need not be downloaded,
+    ``fetched`` (by default the cache) which sources were then read, with size, time and hash.
+    A partition with a source that is missing or unlike its listing fails and gets no document.
     """
     partitions = catchup.published_partitions(objects, documents, dataset)
     selection = store(catchup.select_candidates(partitions, pending), "selection")
@@ -236,6 +239,8 @@ def provenance_catchup(
         ),
         "counts",
     )
+    fetched = cache if fetched is None else fetched
+    faults = store(catchup.source_faults(files, fetched), "source-faults")
     source = F.struct(
         F.col("size").alias("bytes"),
         F.col("name").alias("file"),
@@ -243,14 +248,14 @@ def provenance_catchup(
         F.col("_c.mtime").alias("mtime"),
         F.col("_c.sha256").alias("sha256"),
     )
-    held = cache.select("name", F.struct("mtime", "sha256").alias("_c"))
+    held = fetched.select("name", F.struct("mtime", "sha256").alias("_c"))
     sources = (
         files.join(held, "name", "left")
         .groupBy(*KEY)
         .agg(F.array_sort(F.collect_list(F.struct("position", source.alias("s")))).alias("_s"))
         .select(*KEY, F.transform("_s", lambda e: e["s"]).alias("sources"))
     )
-    good = counts.filter(F.col("problem").isNull()).select(*KEY)
+    good = counts.filter(F.col("problem").isNull()).select(*KEY).join(faults, KEY, "left_anti")
     full = (
         chosen.join(good, KEY, "left_semi").join(outputs, KEY).join(sources, KEY)
     )
@@ -261,6 +266,6 @@ def provenance_catchup(
         selection=selection,
         certification=certification,
         budgeted=budgeted,
-        outcomes=catchup.run_outcomes(certification, budgeted, counts),
+        outcomes=catchup.run_outcomes(certification, budgeted, counts, faults),
         documents=body.select(*KEY, lineage.provenance_text(F.col("body"), True).alias("text")),
     )

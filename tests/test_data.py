@@ -465,6 +465,17 @@ def test_catchup_job(spark):
     assert list(doc)[-2:] == ["source", "reconstructed"]
     assert doc["reconstructed"]["previous"] is None and doc["reconstructed"]["reason"] == "ausente"
 
+    def with_sources(fetched):
+        found = jobs.provenance_catchup(
+            objects, none, pending, listing(spark, [("PAAC0801.dbc", 575335, "2026-01-01T00:00")]), state, cache, headers,
+            described, "sia-pa", F.lit("2026-12-01T00:00:00.000Z"), {"archiveScript": "a", "datasusSdk": "s", "decoder": "d"}, "notes", fetched=fetched,
+        )
+        return rows(found.outcomes, "uf", "outcome", "reason"), found.documents.count()
+
+    # A missing source, or one unlike its listing, fails and writes no document.
+    assert with_sources(cache.limit(0)) == ([("AC", "failed", "unreadable")], 0)
+    assert with_sources(cache.withColumn("bytes", F.lit(7).cast("bigint"))) == ([("AC", "failed", "size-changed")], 0)
+
 
 # --- streaming --------------------------------------------------------------
 
