@@ -62,12 +62,17 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
-    """Arrow batches of fewer rows for the jobs that run inside, so that workers stay small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "2m") -> Iterator[None]:
+    """Arrow batches of fewer rows and bytes for the jobs that run inside, so that workers stay small."""
+    wanted = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": size,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,19 +112,37 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, widt
     return rows.filter(F.col("_cls") == F.col("s.cls")).select("s.*", *extra)
 
 
-def list_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Distinct ``a, b`` (a the smaller set) that share a prefix shingle and may be similar.
+def list_pairs(postings: DataFrame, crowds: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``a, b`` (a the smaller set) that share enough prefix shingles to be similar.
 
-    ``postings`` has ``shingle, cls, n, place``. Of a pair, the smaller set must have the
-    shingle in its shorter index prefix.
+    ``postings`` has ``shingle, cls, n``, whole prefixes but for shingles on longer lists;
+    ``crowds`` has ``cls, crowd``, how many of those a prefix has. Shingles that two sets have
+    in common come in one order, so behind the last one in both prefixes, all others lie
+    outside one and the same prefix: no more than that set has there. Where prefixes share too
+    few to make up for the rest, the sets can't be similar. A repeated posting only keeps more.
     """
-    small = postings.filter(F.col("place") < index_length(F.col("n"), percent)).select(
-        "shingle", F.col("cls").alias("a"), F.col("n").alias("an")
-    )
+    small = postings.select("shingle", F.col("cls").alias("a"), F.col("n").alias("an"))
     large = postings.select("shingle", F.col("cls").alias("b"), F.col("n").alias("bn"))
     before = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
-    pairs = small.join(large, "shingle").filter(before & (100 * F.col("an") >= percent * F.col("bn")))
-    return pairs.select("a", "b").distinct()
+    needed = F.ceil((F.col("an") + F.col("bn")) * percent / (100 + percent))
+    beyond = F.greatest(*(F.col(n) - prefix_length(F.col(n), percent) for n in ("an", "bn")))
+    shared = (
+        small.join(large, "shingle")
+        .filter(before & (100 * F.col("an") >= percent * F.col("bn")))
+        .select("a", "b", (needed - beyond).alias("least"))
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("k"), F.max("least").alias("least"))
+    )
+    both = shared.join(crowds.select(F.col("cls").alias("a"), F.col("crowd").alias("ca")), "a", "left").join(
+        crowds.select(F.col("cls").alias("b"), F.col("crowd").alias("cb")), "b", "left"
+    )
+    crowd = F.least(F.coalesce("ca", F.lit(0)), F.coalesce("cb", F.lit(0)))
+    return both.filter(F.col("k") + crowd >= F.col("least")).select("a", "b")
+
+
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -148,25 +165,25 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         dealt.select("b", "chunk").distinct().join(sets.select(F.col("cls").alias("b"), shared), "b").select(F.lit(None).cast("long").alias("a"), "b", "chunk", "shingles")
     )
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by group, the pivot first; groups may run over batches."""
         pivot = None
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for a, b, blob in zip(pdf["a"], pdf["b"], pdf["shingles"]):
-                values = np.frombuffer(blob, np.uint64)
+            for a, b, blob in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["shingles"]):
+                values = np.frombuffer(blob.as_buffer(), np.uint64)
                 if a is None:
                     pivot = values
                     continue
                 both = np.searchsorted(pivot, values)
                 both = int((pivot[np.minimum(both, len(pivot) - 1)] == values).sum())
                 if 100 * both >= percent * (len(values) + len(pivot) - both):
-                    out.append((int(a), int(b)))
-            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+                    out.append((a, b))
+            yield _pair_batch(out)
 
     rows = pivots.unionByName(members.select("a", "b", "chunk", "shingles"))
     sorted_rows = rows.repartition("b", "chunk").sortWithinPartitions(F.col("b"), F.col("chunk"), F.col("a").asc_nulls_first())
-    return sorted_rows.select(F.col("a").cast("string").alias("a"), "b", "shingles").mapInPandas(compared, "a long, b long")
+    return sorted_rows.select("a", "b", "shingles").mapInArrow(compared, "a long, b long")
 
 
 def verify_groups(
@@ -214,22 +231,24 @@ def verify_groups(
                 if 100 * both >= percent * (len(group[a]) + len(group[b]) - both):
                     yield a, b
 
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, group, tasks = None, {}, []
-        for pdf in batches:
+        for batch in batches:
             out: list[tuple[int, int]] = []
-            for component, cls, others, blob in zip(pdf["component"], pdf["cls"], pdf["partners"], pdf["shingles"]):
+            for component, cls, others, blob in zip(
+                batch["component"].to_pylist(), batch["cls"].to_pylist(), batch["partners"].to_pylist(), batch["shingles"]
+            ):
                 if component != current:
                     out.extend(links_of(group, tasks))
                     current, group, tasks = component, {}, []
-                group[cls] = np.frombuffer(blob, np.uint64)
+                group[cls] = np.frombuffer(blob.as_buffer(), np.uint64)
                 if others is not None:
-                    tasks.append((cls, list(others)))
-            yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-        yield pd.DataFrame(list(links_of(group, tasks)), columns=["a", "b"]).astype("int64")
+                    tasks.append((cls, others))
+            yield _pair_batch(out)
+        yield _pair_batch(list(links_of(group, tasks)))
 
     rows = sets.select("component", "cls", "partners", "shingles").repartition("component").sortWithinPartitions("component")
-    links = store(rows.mapInPandas(compared, "a long, b long"), "jaccard-links")
+    links = store(rows.mapInArrow(compared, "a long, b long"), "jaccard-links")
     return links, grouped.join(fits, "component", "left_anti").select("a", "b")
 
 
@@ -383,7 +402,8 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
     lengths = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     # Most shingles are one class's only; what is left is small.
     postings = store(every.join(lengths, "shingle"), "jaccard-postings")
-    pairs = store(list_pairs(postings.filter(F.col("members") <= short_list), percent), "jaccard-pairs")
+    crowds = postings.filter(F.col("members") > short_list).groupBy("cls").agg(F.count(F.lit(1)).alias("crowd"))
+    pairs = store(list_pairs(postings.filter(F.col("members") <= short_list), crowds, percent), "jaccard-pairs")
     crowded = store(
         postings.filter(F.col("members") > short_list).select("cls").distinct().join(classes.select("cls", "doc_id", "n"), "cls"),
         "jaccard-crowded",
