@@ -14,6 +14,10 @@ from partledger.llm import decontamination, jaccard, mixing, sharding, toxicity
 from partledger.llm.common import new_folder, read_table, store
 from partledger.llm.registered import SHARDS, learn_lexicon
 
+#: Words in a shingle, and the similarity of near copies in percent, of the stage; the query op7 has its own.
+NEAR_WIDTH = 5
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below one half; learned from the labels that are not held out."""
@@ -22,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similar ones link."""
-    return jaccard.keep_one(docs)
+    """One document of each group that similar ones link, by the stage's own width and percent."""
+    return jaccard.keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
