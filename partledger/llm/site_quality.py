@@ -62,16 +62,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> tuple[fl
 
 
 def page_sites(pages: DataFrame) -> DataFrame:
-    """``doc_id, host, path``: a page stands for the document whose number its path ends on.
+    """Distinct ``doc_id, host, path``: a page stands for the document whose number its path ends on.
 
-    The path is the first folder. A document with several pages gets the first by name.
+    The path is the first folder. A document has a row for each of its sites.
     """
     path = url_path(F.col("url"))
     found = pages.select(
         F.expr("try_cast(regexp_extract(split(split(url, '#', 2)[0], '[?]', 2)[0], '/([0-9]+)(?:[.]html)?/?$', 1) AS bigint)").alias("doc_id"),
-        F.struct(url_host(F.col("url")).alias("host"), F.regexp_extract(path, "^(/[^/]*/)", 1).alias("path")).alias("site"),
+        url_host(F.col("url")).alias("host"),
+        F.regexp_extract(path, "^(/[^/]*/)", 1).alias("path"),
     ).filter("doc_id is not null")
-    return found.groupBy("doc_id").agg(F.min("site").alias("site")).select("doc_id", "site.*")
+    return found.distinct()
 
 
 def _prior_weight(stats: DataFrame, mean: Column) -> float:
@@ -99,7 +100,9 @@ def judge_quality(
     A logistic classifier, fitted on ``sample_rows`` labelled documents at most, gives each
     document's own probability. Hosts shrink towards the mean of all documents and paths
     towards their host, by prior weights estimated from all groups; a document is left out of
-    its own site's figures. Log-odds add up: document plus path minus overall mean. ``kept``
+    its own site's figures. A document on several sites counts once for each path and once for
+    each host, and gets the mean log-odds of its hosts and of its paths; ``host`` and ``path``
+    name the first site. Log-odds add up: document plus path minus overall mean. ``kept``
     is ``quality`` of one half or more.
 
     Documents without a site get the overall mean for one. NULL and empty texts have features
@@ -122,20 +125,21 @@ def judge_quality(
     for f, w in zip(features, weights):
         logit = logit + F.lit(w) * F.col(f)
     own = 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-12.0)), F.lit(12.0))))
-    placed = store(
-        figures.select("doc_id", own.alias("p")).join(sites.select("doc_id", "host", "path"), "doc_id", "left"),
-        "quality-evidence",
-    )
-    mean = placed.agg(F.avg("p")).first()[0]
+    judged = store(figures.select("doc_id", own.alias("p")), "quality-evidence")
+    mean = judged.agg(F.avg("p")).first()[0]
     mean = 0.5 if mean is None else min(max(mean, 1e-4), 1 - 1e-4)
 
-    def stats(*keys: str) -> DataFrame:
-        return placed.filter("host is not null").groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("s2")
-        )
+    # Repeated rows are one row with a count before they meet their sites.
+    counted = judged.filter("doc_id is not null").groupBy("doc_id", "p").agg(F.count(F.lit(1)).alias("c"))
+    known_sites = sites.filter("host is not null").select("doc_id", "host", "path").distinct()
+    placed = store(counted.join(known_sites, "doc_id"), "quality-sites")
+
+    def stats(rows: DataFrame, *keys: str) -> DataFrame:
+        p, c = F.col("p"), F.col("c")
+        return rows.groupBy(*keys).agg(F.sum("c").alias("n"), F.sum(c * p).alias("s"), F.sum(c * p * p).alias("s2"))
 
-    by_path = store(stats("host", "path"), "quality-paths")
-    by_host = by_path.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("s2").alias("s2"))
+    by_path = store(stats(placed, "host", "path"), "quality-paths")
+    by_host = store(stats(placed.select("doc_id", "p", "c", "host").distinct(), "host"), "quality-hosts")
     host_weight = _prior_weight(by_host, F.lit(mean))
     hosts = by_host.select("host", F.col("n").alias("host_n"), F.col("s").alias("host_s"))
     paths = by_path.join(hosts, "host")
@@ -143,7 +147,7 @@ def judge_quality(
     table = paths.select(
         F.col("host").alias("_host"), F.col("path").alias("_path"), "host_n", "host_s", "n", "s"
     )
-    joined = placed.join(table, (F.col("host") == F.col("_host")) & (F.col("path") == F.col("_path")), "left")
+    joined = placed.join(table, (F.col("host") == F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
     host_quality = (host_weight * mean + F.col("host_s") - F.col("p")) / (host_weight + F.col("host_n") - 1)
     path_quality = (path_weight * F.col("host_quality") + F.col("s") - F.col("p")) / (path_weight + F.col("n") - 1)
 
@@ -151,15 +155,29 @@ def judge_quality(
         q = F.least(F.greatest(p, F.lit(1e-6)), F.lit(1 - 1e-6))
         return F.log(q / (1 - q))
 
+    def chance(x: Column) -> Column:
+        return 1 / (1 + F.exp(-x))
+
+    of_sites = (
+        joined.withColumn("host_quality", host_quality)
+        .withColumn("path_quality", path_quality)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("p").alias("_p"))
+        .agg(
+            F.min(F.struct("host", "path")).alias("site"),
+            chance(F.avg(odds(F.col("host_quality")))).alias("host_quality"),
+            chance(F.avg(odds(F.col("path_quality")))).alias("path_quality"),
+        )
+    )
     total = odds(F.col("p")) + odds(F.col("path_quality")) - odds(F.lit(mean))
     return (
-        joined.withColumn("host_quality", F.coalesce(host_quality, F.lit(mean)))
-        .withColumn("path_quality", F.coalesce(path_quality, F.lit(mean)))
-        .withColumn("quality", 1 / (1 + F.exp(-total)))
+        judged.join(of_sites, (F.col("doc_id") == F.col("_id")) & (F.col("p") == F.col("_p")), "left")
+        .withColumn("host_quality", F.coalesce("host_quality", F.lit(mean)))
+        .withColumn("path_quality", F.coalesce("path_quality", F.lit(mean)))
+        .withColumn("quality", chance(total))
         .select(
             "doc_id",
-            "host",
-            "path",
+            "site.host",
+            "site.path",
             F.col("p").alias("doc_quality"),
             "host_quality",
             "path_quality",

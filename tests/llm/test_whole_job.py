@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from partledger.llm import site_quality
 from test_operators import DOCS, brute_components, prose, shingles
 
 TABLES = "/root/testdata/sf0.001"
@@ -35,3 +39,56 @@ def test_near_copy_stage_equals_brute_force(spark, monkeypatch):
     kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, DOCS), TABLES)
     assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(expected)
     assert len(expected) < len({i for i, _, component in brute_components(rows, 85) if i == component})
+
+
+# --- sites of a document
+
+
+def test_site_quality_counts_every_site(spark):
+    pages = [(k, f"http://{h}.org/{f}/{k}") for k in range(40) for h, f in (("a", "en"), ("b", "en" if k % 2 else "de"))]
+    pages += [(k, f"http://{'z' if k % 3 else 'b'}.org/fr/{k}") for k in range(30)] + [(3, "http://a.org/en/x/3")]
+    sites = site_quality.page_sites(spark.createDataFrame(pages, "page_id long, url string"))
+    found = {tuple(r) for r in sites.collect()}
+    assert sites.count() == len(found) == 110 and {h for _, h, _ in found} == {"a.org", "b.org", "z.org"}
+
+    rows = [(k, " ".join(w + "$" * (k % 4) for w in prose(k, 60 + k))) for k in range(50)] + [(3, " ".join(prose(3, 9)))]
+    rows += [rows[5], (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 < 2), 0) for k in range(50)], "doc_id long, quality int, toxic int")
+    got = site_quality.judge_quality(docs, sites, labels).collect()
+    assert len(got) == len(rows)
+
+    # Every document counts on each of its paths and hosts; the two prior weights are as estimated.
+    p = [(r["doc_id"], r["doc_quality"]) for r in got]
+    mean = sum(x for _, x in p) / len(p)
+    on = defaultdict(set)
+    for k, h, f in found:
+        on[k].add((h, f))
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for k, x in p:
+        for h in {h for h, _ in on[k]}:
+            hosts[h].append(x)
+        for site in on[k]:
+            paths[site].append(x)
+
+    def weight(groups, centre):
+        many = {k: v for k, v in groups.items() if len(v) > 1}
+        n = sum(map(len, many.values()))
+        within = sum(sum(x * x for x in v) - sum(v) ** 2 / len(v) for v in many.values()) / (n - len(many))
+        between = sum(len(v) * (sum(v) / len(v) - centre(k)) ** 2 for k, v in many.items()) / n
+        rest = max(between - within * sum(1 / len(v) for v in many.values()) / len(many), 1e-9)
+        return min(max(within / rest, 2.0), 1000.0)
+
+    wh = weight(hosts, lambda h: mean)
+    wp = weight(paths, lambda s: sum(hosts[s[0]]) / len(hosts[s[0]]))
+    logit = lambda q: math.log(q / (1 - q))
+    for r in got:
+        k, x = r["doc_id"], r["doc_quality"]
+        if not on[k]:
+            assert r["host"] is None and r["path_quality"] == pytest.approx(mean)
+            continue
+        one = {h: (wh * mean + sum(hosts[h]) - x) / (wh + len(hosts[h]) - 1) for h, _ in on[k]}
+        two = [logit((wp * one[s[0]] + sum(paths[s]) - x) / (wp + len(paths[s]) - 1)) for s in on[k]]
+        assert (r["host"], r["path"]) == min(on[k])
+        assert logit(r["path_quality"]) == pytest.approx(sum(two) / len(two), abs=1e-6)
+        assert logit(r["quality"]) == pytest.approx(logit(x) + sum(two) / len(two) - logit(mean), abs=1e-6)
