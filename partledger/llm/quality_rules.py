@@ -9,8 +9,6 @@ from partledger.llm.common import WORD, let, store, words_of
 
 #: Buckets of the hashed n-gram multinomials.
 BUCKETS = 8192
-#: Trusted documents that the target multinomial is fitted on, at most.
-TRUSTED_ROWS = 20_000
 #: Share of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.002
 MIN_WORDS = 50
@@ -70,15 +68,9 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of documents labelled good, the ``rows`` with the smallest hash: a bounded table."""
-    return (
-        labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull())
-        .select("doc_id")
-        .distinct()
-        .orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id")
-        .limit(rows)
-    )
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
@@ -87,7 +79,7 @@ def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
     Counts run over every document; a task sends one row per bucket. ``buckets`` numbers
     reach the driver, whatever the input's size.
     """
-    grams = docs.join(F.broadcast(trusted.withColumn("_trusted", F.lit(True))), "doc_id", "left").select(
+    grams = docs.join(trusted.withColumn("_trusted", F.lit(True)), "doc_id", "left").select(
         "_trusted", F.explode(let(word_hashes(F.col("text")), lambda h: gram_buckets(h, buckets))).alias("bucket")
     )
     counts = grams.groupBy("bucket").agg(
@@ -107,13 +99,12 @@ def apply_rules(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
     trusted_loss: float = TRUSTED_LOSS,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``llr`` and ``kept`` of every row of ``docs``.
 
     ``llr`` is the mean over a text's words and word pairs of the log ratio between the
-    trusted and the raw multinomial. The threshold is the ``trusted_loss`` quantile of the
+    trusted and the raw multinomial, counted over all of them. The threshold is the ``trusted_loss`` quantile of the
     trusted documents' own means, so it is fixed by the tables and every document is judged
     alike. Without trusted documents nothing but the base rules decides.
 
@@ -122,7 +113,7 @@ def apply_rules(
     ``doc_id`` and ``text`` are ignored. Empty tables give no rows.
     """
     picked = docs.select("doc_id", "text")
-    trusted = store(trusted_ids(labels, trusted_rows), "trusted-ids")
+    trusted = store(trusted_ids(labels), "trusted-ids")
     weights = gram_weights(picked, trusted, buckets)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -159,7 +150,7 @@ def apply_rules(
     ).select("doc_id", "word_chars", "n_symbols", "n_dup_lines", "_judged.*")
     features = store(features, "quality-features")
     least = (
-        features.join(F.broadcast(trusted), "doc_id", "left_semi")
+        features.join(trusted, "doc_id", "left_semi")
         .agg(F.percentile_approx("llr", F.lit(trusted_loss), F.lit(10_000)))
         .first()[0]
     )

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from partledger.llm import site_quality
+from partledger.llm import quality_rules, site_quality
 from test_operators import DOCS, brute_components, prose, shingles
 
 TABLES = "/root/testdata/sf0.001"
@@ -92,3 +92,13 @@ def test_site_quality_counts_every_site(spark):
         assert (r["host"], r["path"]) == min(on[k])
         assert logit(r["path_quality"]) == pytest.approx(sum(two) / len(two), abs=1e-6)
         assert logit(r["quality"]) == pytest.approx(logit(x) + sum(two) / len(two) - logit(mean), abs=1e-6)
+
+
+# --- trusted documents
+
+
+def test_every_trusted_document_counts(spark):
+    labels = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert quality_rules.trusted_ids(labels).count() == 20_500
+    docs = spark.range(20_600).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    assert set(quality_rules.gram_weights(docs.filter("doc_id < 20500"), quality_rules.trusted_ids(labels), 8)) == {0.0}
