@@ -12,6 +12,7 @@ from partledger.llm import (
     jaccard,
     languages,
     linededup,
+    manifest,
     mixing,
     quality_rules,
     sharding,
@@ -89,6 +90,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    bare = F.when(crc_mod(F.col("doc_id"), 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    claim = manifest.leaf_digest(*(F.col(c) for c in fields[:-1]), bare)
+    proved = manifest.proofs(manifest.build_manifest(docs, fields, claim=claim))
+    digests = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root", "proof", "folded")}
+    return proved.select(
+        F.col("leaf_id").alias("doc_id"),
+        digests["leaf"].alias("leaf"),
+        digests["subroot"].alias("subroot"),
+        digests["root"].alias("root"),
+        digests["proof"].alias("proof_sha256"),
+        digests["folded"].alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -127,6 +146,47 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs LEFT JOIN words USING (k) LEFT JOIN found USING (k)
 """
 
+#: CRC-32 of a text's UTF-8 bytes, bit by bit: the reflected polynomial is a fixed value.
+_CRC = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(strlen({0})), lambda i: ord({0}[i + 1])::UBIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda x, z: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)"""
+
+
+def _sql_field(column: str) -> str:
+    return f"coalesce(strlen(({column})::VARCHAR)::VARCHAR || ':' || ({column})::VARCHAR, '-')"
+
+
+_FIELDS = " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+MANIFEST_SQL = f"""
+WITH RECURSIVE leaves AS (SELECT row_number() OVER () AS id, source, doc_id,
+    sha256({_FIELDS} || {_sql_field("text")}) AS leaf,
+    sha256({_FIELDS} || {_sql_field("CASE WHEN " + _CRC.format("(doc_id::VARCHAR)") + " % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")}) AS claim
+  FROM documents),
+sources AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM leaves GROUP BY source),
+placed AS (SELECT id, doc_id, leaf, claim, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+  FROM leaves JOIN sources ON leaves.source IS NOT DISTINCT FROM sources.source),
+low AS (SELECT 0 AS level, tree, rank AS pos, leaf AS digest, n FROM placed
+  UNION ALL SELECT level + 1, tree, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+    FROM low WHERE n > 1 GROUP BY level, tree, pos // 3, n),
+subroots AS (SELECT tree, digest, level AS height FROM low WHERE n = 1),
+up AS (SELECT 0 AS level, tree AS pos, digest, (SELECT count(*) FROM subroots) AS n FROM subroots
+  UNION ALL SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY level, pos // 3, n),
+top AS (SELECT digest AS root FROM up WHERE n = 1),
+steps AS (SELECT id, low.level, low.pos AS pos, (rank // (3 ** low.level)::BIGINT) AS me, low.digest FROM placed JOIN low USING (tree)
+    JOIN subroots USING (tree) WHERE low.level < height AND low.pos // 3 = rank // (3 ** (low.level + 1))::BIGINT
+  UNION ALL SELECT id, height + up.level, up.pos, (tree // (3 ** up.level)::BIGINT), up.digest FROM placed JOIN subroots USING (tree)
+    JOIN up ON up.pos // 3 = tree // (3 ** (up.level + 1))::BIGINT WHERE up.n > 1),
+ways AS (SELECT id, level, coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos < me), '') AS before_me,
+    coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos > me), '') AS after_me FROM steps GROUP BY id, level),
+proofs AS (SELECT id, sha256(string_agg(before_me || after_me, '' ORDER BY level)) AS proof FROM ways GROUP BY id),
+folded AS (SELECT id, 0 AS level, claim AS digest FROM placed
+  UNION ALL SELECT folded.id, folded.level + 1, sha256(before_me || folded.digest || after_me) FROM folded JOIN ways USING (id, level)),
+ends AS (SELECT id, arg_max(digest, level) AS digest FROM folded GROUP BY id)
+SELECT doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, ends.digest AS folded_root,
+  ends.digest = root AS verified
+FROM placed JOIN subroots USING (tree) JOIN ends USING (id) LEFT JOIN proofs USING (id), top
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
@@ -140,6 +200,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_quality_rules,
         op10_decontamination,
+        op11_merkle_manifest,
         pipeline,
     )
     return {f.__name__: f for f in made}
@@ -150,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": linededup.SQL,
         "op4_url_rules": URL_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
+        "op11_merkle_manifest": MANIFEST_SQL,
     }
