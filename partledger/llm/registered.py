@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partledger.llm import (
+    collocations,
     decontamination,
     jaccard,
     languages,
@@ -108,6 +109,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -187,6 +192,28 @@ SELECT doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof, sha256(''
 FROM placed JOIN subroots USING (tree) JOIN ends USING (id) LEFT JOIN proofs USING (id), top
 """
 
+COLLOCATION_SQL = rf"""
+WITH pieces AS (SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM (SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3)) sizes(k)),
+f AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL
+  HAVING count(*) >= {collocations.MIN_COUNT}),
+cuts AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1),
+scores AS (SELECT cuts.lang, cuts.k, cuts.phrase, a, cut, x.f AS l, y.f AS r,
+    ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+    JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(list_slice(w, cut + 1, cuts.k), ' ')),
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (SELECT lang, unnest([array_to_string(list_slice(string_split(phrase, ' '), 1, 2), ' '),
+    array_to_string(list_slice(string_split(phrase, ' '), 2, 3), ' ')]) AS phrase, f FROM f WHERE k = 3),
+kept AS (SELECT * FROM best WHERE NOT EXISTS (SELECT 1 FROM longer
+  WHERE longer.lang = best.lang AND longer.phrase = best.phrase AND 100 * longer.f >= {collocations.COVERED_PERCENT} * best.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
@@ -201,6 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality_rules,
         op10_decontamination,
         op11_merkle_manifest,
+        op13_collocations,
         pipeline,
     )
     return {f.__name__: f for f in made}
@@ -212,4 +240,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_rules": URL_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
         "op11_merkle_manifest": MANIFEST_SQL,
+        "op13_collocations": COLLOCATION_SQL,
     }
