@@ -27,7 +27,7 @@ TOP = 2000
 #: A longer phrase with this share of a phrase's occurrences takes its place.
 COVERED_PERCENT = 50
 #: Fingerprints that a task adds up before it hands them to the shuffle.
-LOCAL = 2_000_000
+LOCAL = 500_000
 #: Bits of the filter of frequent fingerprints that each task gets: 8 MB at any data size.
 FILTER_BITS = 26
 #: A pointer has 38 bits of a row's hash, 24 of the word's place and 2 of the phrase's length.
@@ -307,23 +307,24 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, text_col: str = "t
     rows = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"))
     rows = rows.withColumn("row", F.xxhash64("text", "lang"))
     with small_batches(spark):
-        prints = store(counted(rows.mapInArrow(prints_of((0, 1, 2), bits), PRINTS)).filter(F.col("uses") >= least), "phrases-short")
-        # A run of three words is frequent only if both pairs in it are; a clash may hide a pair.
-        pairs = prints.filter((F.col("pointer").bitwiseAND(3) == 2) | (F.col("low") != F.col("high")))
-        kept = spark.sparkContext.broadcast(filter_of(pairs))
-        long = counted(rows.mapInArrow(prints_of((MOST_WORDS,), bits, kept), PRINTS)).filter(F.col("uses") >= least)
-        long = store(long, "phrases-long")
+        prints, kept, last = None, None, None
+        for sizes in ((0, 1), (2,), (MOST_WORDS,)):
+            if last is not None:
+                # A run is frequent only if both its parts one word shorter are.
+                kept = spark.sparkContext.broadcast(filter_of(last))
+            found = counted(rows.mapInArrow(prints_of(sizes, bits, kept), PRINTS)).filter(F.col("uses") >= least)
+            last = store(found, f"phrases-{sizes[-1]}")
+            prints = last if prints is None else prints.unionByName(last)
         # Runs of different lengths may share a narrow fingerprint: then they are counted again.
-        both = prints.select("print").join(long.select("print"), "print").distinct()
-        clash = prints.unionByName(long).filter("low <> high").select("print").unionByName(both).distinct()
-        clash = store(clash, "phrases-clashes")
-        clean = prints.unionByName(long).join(clash, "print", "left_anti")
+        repeated = prints.groupBy("print").agg((F.count(F.lit(1)) > 1).alias("again"), F.max(F.col("low") != F.col("high")).alias("mixed"))
+        clash = store(repeated.filter("again or mixed").select("print"), "phrases-clashes")
+        clean = prints.join(clash, "print", "left_anti")
         asked = clean.groupBy(F.shiftright("pointer", 26).alias("short")).agg(F.collect_list(F.struct("print", "pointer", "low")).alias("asked"))
         asked = store(asked, "phrases-asked")
-        found = rows.join(asked, F.shiftright("row", 26) == F.col("short")).select(
+        texts = rows.join(asked, F.shiftright("row", 26) == F.col("short")).select(
             "lang", F.explode(phrases_udf(bits)("text", "lang", "asked")).alias("p")
         )
-        named = found.groupBy("p.print").agg(F.min("lang").alias("lang"), F.min("p.n").alias("n"), F.min("p.phrase").alias("phrase"))
+        named = texts.groupBy("p.print").agg(F.min("lang").alias("lang"), F.min("p.n").alias("n"), F.min("p.phrase").alias("phrase"))
         result = named.join(clean.select("print", "uses"), "print").select("lang", "n", "phrase", F.col("uses").alias("f"))
         result = store(result, "phrases-named")
         if clash.isEmpty():
