@@ -246,20 +246,26 @@ def phrases_udf(bits: int):
         for text, lang, wanted in zip(texts, langs, asked):
             runs, seeds = Runs([(text.as_py() or "").encode()]), lang_seeds([lang.as_py()])
             runs.hash(hashers)
-            found = []
+            found, of_size = [], {}
             for want in wanted.as_py():
-                target, n, word = np.uint64(want["print"] % 2**64), want["pointer"] & 3, want["pointer"] >> 2 & LAST_PLACE
+                target, n, place = np.uint64(want["print"] % 2**64), want["pointer"] & 3, want["pointer"] >> 2 & LAST_PLACE
                 if n == 0:
                     if total_print(seeds, hashers)[0] == target:
                         found.append({"print": want["print"], "n": 0, "phrase": ""})
                     continue
-                words = runs.first_words(n)
-                if word < LAST_PLACE:
-                    words = words[words == word]
-                prints, checks = runs.fingerprints(hashers, words, n, seeds)
-                hits = words[(prints == target) & (checks == want["low"])]
-                if len(hits):
-                    found.append({"print": want["print"], "n": n, "phrase": runs.phrase(int(hits[0]), n)})
+                if n not in of_size:
+                    words = runs.first_words(n)
+                    of_size[n] = (words, *runs.fingerprints(hashers, words, n, seeds))
+                words, prints, checks = of_size[n]
+                if place < LAST_PLACE:
+                    at = int(np.searchsorted(words, place))
+                    tried = range(at, min(at + 1, len(words)))
+                else:
+                    tried = np.flatnonzero(prints == target).tolist()
+                for at in tried:
+                    if prints[at] == target and checks[at] == want["low"]:
+                        found.append({"print": want["print"], "n": n, "phrase": runs.phrase(int(words[at]), n)})
+                        break
             out.append(found)
         kind = pa.struct([("print", pa.int64()), ("n", pa.int32()), ("phrase", pa.string())])
         return pa.array(out, pa.list_(kind))
