@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from partledger.llm.bitfilter import filter_of, in_filter
 from partledger.llm.common import small_batches, store
 from partledger.llm.words import byte_table, mix, pieces
 
@@ -28,8 +29,6 @@ TOP = 2000
 COVERED_PERCENT = 50
 #: Fingerprints that a task adds up before it hands them to the shuffle.
 LOCAL = 500_000
-#: Bits of the filter of frequent fingerprints that each task gets: 8 MB at any data size.
-FILTER_BITS = 26
 #: A pointer has 38 bits of a row's hash, 24 of the word's place and 2 of the phrase's length.
 PLACE_BITS = 24
 LAST_PLACE = (1 << PLACE_BITS) - 1
@@ -135,15 +134,6 @@ def total_print(seeds: np.ndarray, hashers: Hashers) -> np.ndarray:
     return mix(seeds ^ np.uint64(0x9E3779B97F4A7C15)) & hashers.mask
 
 
-def bit_of(prints: np.ndarray) -> np.ndarray:
-    return (mix(prints) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def in_filter(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    bit = bit_of(prints)
-    return (bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 Batch = tuple[list[bytes], list[str], np.ndarray]
 
 
@@ -222,22 +212,6 @@ def counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def filter_of(prints: DataFrame) -> np.ndarray:
-    """Bits of ``2**FILTER_BITS`` that are set for the fingerprints: so many at most, however many they are."""
-
-    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = bit_of(batch.column("print").to_numpy().view(np.uint64))
-            ones = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_pydict({"place": pa.array(bit >> 6), "ones": pa.array(ones)})
-
-    words = prints.select("print").mapInArrow(set_bits, "place long, ones long").groupBy("place").agg(F.bit_or("ones").alias("ones"))
-    table = words.toArrow()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    bits[table["place"].to_numpy()] = table["ones"].to_numpy().view(np.uint64)
-    return bits
-
-
 def phrases_udf(bits: int):
     """The texts behind a row's pointers, if they have the fingerprints that are asked for."""
 
@@ -317,7 +291,7 @@ def frequent_phrases(docs: DataFrame, least: int = MIN_COUNT, text_col: str = "t
         for sizes in ((0, 1), (2,), (MOST_WORDS,)):
             if last is not None:
                 # A run is frequent only if both its parts one word shorter are.
-                kept = spark.sparkContext.broadcast(filter_of(last))
+                kept = spark.sparkContext.broadcast(filter_of(last.select("print")))
             found = counted(rows.mapInArrow(prints_of(sizes, bits, kept), PRINTS)).filter(F.col("uses") >= least)
             last = store(found, f"phrases-{sizes[-1]}")
             prints = last if prints is None else prints.unionByName(last)

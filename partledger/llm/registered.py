@@ -18,6 +18,7 @@ from partledger.llm import (
     quality_rules,
     sharding,
     site_quality,
+    suffixdedup,
     toxicity,
     urlrules,
 )
@@ -109,6 +110,29 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = suffixdedup.kept_texts(docs, suffixdedup.repeated_spans(docs))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["stop"] - s["start"]))
+    digest = F.sha2("kept", 256).alias("cut_sha256")
+    found = found.select("k1", "k2", removed.alias("removed"), F.size("spans").cast("long").alias("runs"), digest)
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(
+        "doc_id",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.sha2(text.cast("binary"), 256).alias("sha256"),
+        *suffixdedup.text_keys(text),
+    )
+    none = F.lit(0).cast("long")
+    return rows.join(found, ["k1", "k2"], "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("removed", none).alias("n_removed"),
+        F.coalesce("runs", none).alias("n_spans"),
+        F.coalesce("cut_sha256", "sha256").alias("kept_sha256"),
+    )
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine_collocations(read_table(spark, sf_dir, "documents"))
 
@@ -192,6 +216,24 @@ SELECT doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof, sha256(''
 FROM placed JOIN subroots USING (tree) JOIN ends USING (id) LEFT JOIN proofs USING (id), top
 """
 
+SUFFIX_SQL = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+places AS (SELECT k, i, md5(array_slice(b, i, i + {suffixdedup.LENGTH - 1})) AS h
+  FROM (SELECT k, b, unnest(range(1, octet_length(b) - {suffixdedup.LENGTH - 2})) AS i FROM docs)),
+hits AS (SELECT k, i FROM places WHERE h IN (SELECT h FROM places GROUP BY h HAVING count(*) > 1)),
+marked AS (SELECT k, i, (i > lag(i) OVER (PARTITION BY k ORDER BY i) + {suffixdedup.LENGTH})::INT AS fresh FROM hits),
+numbered AS (SELECT k, i, sum(coalesce(fresh, 0)) OVER (PARTITION BY k ORDER BY i) AS run FROM marked),
+runs AS (SELECT k, min(i) AS lo, max(i) + {suffixdedup.LENGTH - 1} AS hi FROM numbered GROUP BY k, run),
+gaps AS (SELECT k, lag(hi, 1, 0) OVER (PARTITION BY k ORDER BY lo) + 1 AS f, lo - 1 AS t FROM runs
+  UNION ALL SELECT k, max(hi) + 1, octet_length(any_value(b)) FROM runs JOIN docs USING (k) GROUP BY k),
+kept AS (SELECT k, sha256(unhex(string_agg(CASE WHEN t >= f THEN hex(array_slice(b, f, t)) ELSE '' END, '' ORDER BY f))) AS digest
+  FROM gaps JOIN docs USING (k) GROUP BY k),
+sums AS (SELECT k, sum(hi - lo + 1)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY k)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  coalesce(digest, sha256(b)) AS kept_sha256
+FROM docs LEFT JOIN sums USING (k) LEFT JOIN kept USING (k)
+"""
+
 COLLOCATION_SQL = rf"""
 WITH pieces AS (SELECT row_number() OVER () AS id, lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
   FROM (SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
@@ -228,6 +270,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality_rules,
         op10_decontamination,
         op11_merkle_manifest,
+        op12_suffix_dedup,
         op13_collocations,
         pipeline,
     )
@@ -240,5 +283,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_url_rules": URL_SQL,
         "op10_decontamination": DECONTAMINATION_SQL,
         "op11_merkle_manifest": MANIFEST_SQL,
+        "op12_suffix_dedup": SUFFIX_SQL,
         "op13_collocations": COLLOCATION_SQL,
     }
