@@ -36,7 +36,7 @@ IN_MEMORY = 4_000_000
 #: Windows of a text that are dealt at once; longer texts are cut with overlap.
 WINDOWS = 1 << 20
 
-PIECE = "anchor long, s1 long, s2 long, k1 long, k2 long, span long"
+PIECE = "anchor long, s1 long, s2 long, k1 long, k2 long, span long, size long"
 
 
 def text_keys(text: Column) -> list[Column]:
@@ -108,7 +108,8 @@ def cut(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         polynomial = Polynomial(12)
         for batch in batches:
             for text, k1, k2 in zip(batch.column("text"), batch.column("k1").to_pylist(), batch.column("k2").to_pylist()):
-                found = list(pieces_of(text.as_buffer().to_pybytes(), length, polynomial))
+                data = text.as_buffer().to_pybytes()
+                found = list(pieces_of(data, length, polynomial))
                 if found:
                     columns = {
                         "anchor": signed([a for a, _, _ in found]),
@@ -117,45 +118,13 @@ def cut(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                         "k1": pa.array([k1] * len(found), pa.int64()),
                         "k2": pa.array([k2] * len(found), pa.int64()),
                         "span": pa.array([s for _, _, s in found], pa.int64()),
+                        "size": pa.array([len(data)] * len(found), pa.int64()),
                     }
                     yield pa.RecordBatch.from_pydict(columns)
 
     return emit
 
 
-OCCURRENCE = "s1 long, s2 long, k1 long, k2 long, start long, stop long, size long"
-
-
-def occurrences(length: int, repeated) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The places of the pieces that pass a filter of the repeated ones."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        polynomial = Polynomial(12)
-        for batch in batches:
-            for text, k1, k2 in zip(*(batch.column(c) for c in ("text", "k1", "k2"))):
-                data = text.as_buffer().to_pybytes()
-                found = list(pieces_of(data, length, polynomial))
-                if not found:
-                    continue
-                s1 = np.array([d >> 64 for _, d, _ in found], np.uint64)
-                at = np.flatnonzero(in_filter(repeated.value, s1))
-                if not len(at):
-                    continue
-                spans = [parts_of(found[k][2]) for k in at]
-                columns = {
-                    "s1": pa.array(s1[at].view(np.int64)),
-                    "s2": signed([found[k][1] & (2**64 - 1) for k in at]),
-                    "k1": pa.array([k1.as_py()] * len(at), pa.int64()),
-                    "k2": pa.array([k2.as_py()] * len(at), pa.int64()),
-                    "start": pa.array([s for s, _, _ in spans], pa.int64()),
-                    "stop": pa.array([s + n + length - 1 for s, n, _ in spans], pa.int64()),
-                    "size": pa.array([len(data)] * len(at), pa.int64()),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return emit
-
-
 FETCHED = "anchor long, s1 long, s2 long, piece binary, copies long, k1 long, k2 long, start long, windows int, delta int, size long, pieces long"
 
 
@@ -366,11 +335,17 @@ def repeated_spans(
     spark = docs.sparkSession
     texts = _keyed(docs, text_col).filter(F.length("text") >= length)
     with small_batches(spark):
-        counted = texts_pieces(texts, length)
+        pieces = store(texts.mapInArrow(cut(length), PIECE), "suffix-cut")
+        places = [F.first(c).alias(c) for c in ("k1", "k2", "span")]
+        counted = pieces.groupBy("anchor", "s1", "s2").agg(F.count(F.lit(1)).alias("copies"), *places)
+        counted = store(counted, "suffix-counted")
         repeated = counted.filter("copies > 1").select("s1", "s2")
         some = spark.sparkContext.broadcast(filter_of(repeated.select("s1")))
-        marks = texts.mapInArrow(occurrences(length, some), OCCURRENCE).distinct().join(repeated, ["s1", "s2"], "left_semi")
-        spans = [store(marks.select("k1", "k2", "start", "stop", "size").distinct(), "suffix-marks")]
+        marks = pieces.filter(passes_udf(some)("s1")).join(repeated, ["s1", "s2"], "left_semi")
+        start = F.shiftright("span", 20)
+        stop = start + F.shiftright("span", 10).bitwiseAND(1023) + length - 1
+        marks = marks.select("k1", "k2", start.alias("start"), stop.alias("stop"), "size").distinct()
+        spans = [store(marks, "suffix-marks")]
 
         crowds = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("pieces")).filter("pieces > 1")
         asked = counted.join(crowds, "anchor").groupBy("k1", "k2").agg(
@@ -412,13 +387,6 @@ def repeated_spans(
         return store(grouped.select("k1", "k2", "size", merge_udf()("starts", "stops").alias("spans")), "suffix-merged")
 
 
-def texts_pieces(texts: DataFrame, length: int) -> DataFrame:
-    """Distinct pieces with their copies, and one of the places each is found at, stored."""
-    pieces = texts.mapInArrow(cut(length), PIECE)
-    places = [F.first(c).alias(c) for c in ("k1", "k2", "span")]
-    return store(pieces.groupBy("anchor", "s1", "s2").agg(F.count(F.lit(1)).alias("copies"), *places), "suffix-counted")
-
-
 def cut_udf():
     def cut_out(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
