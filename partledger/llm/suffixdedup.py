@@ -25,8 +25,8 @@ from partledger.llm.suffixes import Scratch, with_common_prefixes
 from partledger.llm.words import mix
 
 LENGTH = 400
-#: Pieces that share an anchor before the anchor is dealt anew; some 2 MB at 400 bytes.
-HOT = 4096
+#: Pieces that share an anchor before the anchor is dealt anew; some 600 KB at 400 bytes.
+HOT = 1024
 #: Bytes of pieces in a shard; a shard of any size is sorted, with files beyond ``MEMORY``.
 SHARD_BYTES = 4 << 20
 #: Bytes that each array and queue of a sort may take before it lies in scratch files.
@@ -45,7 +45,7 @@ def text_keys(text: Column) -> list[Column]:
 
 
 def anchor_bytes(length: int) -> int:
-    return max(1, length * 8 // 25)
+    return max(1, length * 4 // 25)
 
 
 def span_of(start, windows, delta):
@@ -93,8 +93,8 @@ def pieces_of(text: bytes, length: int, polynomial: Polynomial) -> Iterator[tupl
 
 
 def check_length(length: int) -> None:
-    if not 1 <= length <= 1400:
-        raise ValueError("a repeat has 1 to 1,400 bytes")
+    if not 1 <= length <= 1200:
+        raise ValueError("a repeat has 1 to 1,200 bytes")
 
 
 def signed(values: list[int]) -> pa.Array:
