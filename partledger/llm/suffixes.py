@@ -358,9 +358,13 @@ def same_stretches(text: np.ndarray, one: np.ndarray, two: np.ndarray, lengths:
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, scratch: Scratch) -> np.ndarray:
-    """Common prefix of each suffix in ``order`` with the one before it, up to ``cap``."""
+    """Common prefix of each suffix in ``order`` with the one before it, up to ``cap``.
+
+    Eight bytes are compared at once; the first unequal one is the lowest set bit's.
+    """
     out = scratch.array(len(order), np.int32)
-    n = len(text)
+    n, width = len(text), 8 // text.itemsize
+    wide = np.lib.stride_tricks.as_strided(text[: n // width * width].view(np.uint64), (max(n - width + 1, 0),), (text.itemsize,))
     for part in chunks(len(order)):
         here = np.asarray(order[part])
         before = np.append(order[part.start - 1] if part.start else n - 1, here[:-1])
@@ -368,19 +372,29 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int, scratch: Scra
         live = np.arange(len(here))
         while len(live):
             a, b = here[live] + length[live], before[live] + length[live]
-            differ = np.full(len(live), False)
-            step = np.zeros(len(live), np.int32)
-            for k in range(8):
-                more = ~differ & (np.maximum(a, b) + k < n)
-                differ |= ~more
-                differ[more] = text[a[more] + k] != text[b[more] + k]
-                step += ~differ
-            length[live] += step
-            live = live[(step == 8) & (length[live] < cap)]
+            near = np.maximum(a, b) <= n - width
+            for k in live[~near].tolist():
+                length[k] += short_prefix(text, int(here[k] + length[k]), int(before[k] + length[k]))
+            live, a, b = live[near], a[near], b[near]
+            differ = wide[a] ^ wide[b]
+            unequal = differ != 0
+            lowest = differ[unequal] & (~differ[unequal] + np.uint64(1))
+            length[live[unequal]] += ((np.frexp(lowest.astype(np.float64))[1] - 1) >> 3) // text.itemsize
+            live = live[~unequal]
+            length[live] += width
+            live = live[length[live] < cap]
         out[part] = np.minimum(length, cap)
     return out
 
 
+def short_prefix(text: np.ndarray, a: int, b: int) -> int:
+    """Common prefix of two suffixes of which one ends within a few symbols."""
+    k = 0
+    while max(a, b) + k < len(text) and text[a + k] == text[b + k]:
+        k += 1
+    return k
+
+
 def sorted_seeds(text, up, seeds, symbols: int, in_memory: int, scratch: Scratch) -> np.ndarray:
     """The seeds in order of their suffixes: stretches get names, and the text of names is sorted."""
     first = np.argsort(text[seeds], kind="stable")
