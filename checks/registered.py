@@ -5,6 +5,7 @@ from checks import (  # noqa: F401
     control_queries,
     data_queries,
     lineage_queries,
+    publish_queries,
 )
 from checks.registry import oracle_sql, queries
 

@@ -61,6 +61,26 @@ def is_sha256(text: Column) -> Column:
     )
 
 
+def _parts_digest(content: Column, part_bytes: int) -> tuple[Column, Column]:
+    """Number of parts of ``part_bytes``, and MD5 of the parts' MD5s."""
+    parts = F.ceil(F.length(content) / F.lit(part_bytes))
+    pieces = F.transform(
+        F.sequence(F.lit(1), F.greatest(parts, F.lit(1))),
+        lambda i: F.md5(F.substring(content, ((i - 1) * part_bytes + 1).cast("int"), F.lit(part_bytes).cast("int"))),
+    )
+    return parts, F.md5(F.unhex(F.array_join(pieces, "")))
+
+
+def multipart_tag(content: Column, part_bytes: int = MULTIPART_BYTES) -> Column:
+    parts, digest = _parts_digest(content, part_bytes)
+    return F.concat(digest, F.lit("-"), parts.cast("string"))
+
+
+def object_tag(content: Column, part_bytes: int = MULTIPART_BYTES) -> Column:
+    """The tag a store gives an object sent whole up to ``part_bytes``, and in parts beyond."""
+    return F.when(F.length(content) <= part_bytes, F.md5(content)).otherwise(multipart_tag(content, part_bytes))
+
+
 def etag_matches(etag: Column, content: Column, part_bytes: int = MULTIPART_BYTES) -> Column:
     """Whether ``content`` is the object carrying this storage tag.
 
@@ -71,16 +91,8 @@ def etag_matches(etag: Column, content: Column, part_bytes: int = MULTIPART_BYTE
     shape = r"^([0-9a-f]{32})(?:-([0-9]+))?\z"
     digest = F.regexp_extract(clean, shape, 1)
     parts_text = F.regexp_extract(clean, shape, 2)
-    parts = F.ceil(F.length(content) / F.lit(part_bytes))
-    pieces = F.transform(
-        F.sequence(F.lit(1), F.greatest(parts, F.lit(1))),
-        lambda i: F.md5(
-            F.substring(
-                content, ((i - 1) * part_bytes + 1).cast("int"), F.lit(part_bytes).cast("int")
-            )
-        ),
-    )
-    multipart = F.md5(F.unhex(F.array_join(pieces, ""))) == digest
+    parts, whole = _parts_digest(content, part_bytes)
+    multipart = whole == digest
     matches = (
         F.when(~clean.rlike(shape), F.lit(False))
         .when(parts_text == "", F.md5(content) == digest)

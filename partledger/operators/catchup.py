@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partledger.functions import names, rules
-from partledger.functions.digests import etag_matches
+from partledger.functions.digests import multipart_tag
 from partledger.functions.times import iso_millis
 from partledger.operators.listing import archived_files
 from partledger.spec import (
@@ -249,6 +249,11 @@ def reusable_local_objects(objects: DataFrame, local: DataFrame) -> DataFrame:
 
     ``local`` has ``key, size, content``.
     """
-    both = objects.select("key", F.col("size").alias("_published"), "etag").join(local, "key")
-    same = (F.col("_published") == F.col("size")) & etag_matches(F.col("etag"), F.col("content"))
+    # Tags are made where the content is read; a join would move it.
+    tags = local.select(
+        "key", "size", F.md5("content").alias("_plain"), multipart_tag(F.col("content")).alias("_parts")
+    )
+    both = objects.select("key", F.col("size").alias("_published"), "etag").join(tags, "key")
+    clean = F.replace("etag", F.lit('"'), F.lit(""))
+    same = (F.col("_published") == F.col("size")) & ((clean == F.col("_plain")) | (clean == F.col("_parts")))
     return both.filter(same).select("key", "size", "etag")

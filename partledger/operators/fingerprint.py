@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from partledger.functions import jsontext
 from partledger.functions.digests import hex_word, limb_sum_hex, limbs, swap_bytes
 from partledger.functions.names import two_digits
-from partledger.spec import FINGERPRINT_VERSION
+from partledger.session import store
+from partledger.spec import FINGERPRINT_VERSION, KEY
 
 
 def format_fingerprint(rows: Column, total: Column, xor: Column) -> Column:
@@ -94,29 +95,53 @@ def compare_fingerprints(current: DataFrame, published: DataFrame, by: Sequence[
 def changed_partitions(data: DataFrame, outcomes: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of the partitions whose fingerprint is new or different.
 
-    A semi join on partition columns: files of unchanged partitions are not opened.
+    The values each column takes among their keys become constant predicates before the semi
+    join, so files of other partitions are not opened, whatever sizes are estimated; there are
+    as many values as units, years and months.
     """
-    keys = outcomes.filter(F.col("outcome") != "unchanged").select(*by)
-    return data.join(keys, list(by), "left_semi")
+    keys = store(outcomes.filter(F.col("outcome") != "unchanged").select(*by), "changed-keys")
+    seen = keys.agg(*[F.collect_set(c).alias(c) for c in by]).first()
+    near = data
+    for c in by:
+        near = near.filter(F.col(c).isin(sorted(seen[c])))
+    return near.join(keys, list(by), "left_semi")
+
+
+def row_digests(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row. Which columns are NULL is hashed too, for a hash passes over
+    NULL; -0.0 and NaN count as grouping counts them."""
+    values = []
+    for name in names:
+        value = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(value == 0, F.lit(0.0).cast(df.schema[name].dataType)).otherwise(value)
+        values += [value.isNull(), value]
+    return [F.xxhash64(F.lit(seed), *values).alias(name) for seed, name in ((1, "_first"), (2, "_second"))]
 
 
 def revision_diff(old: DataFrame, new: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Multiset difference between two versions: each differing row once, with ``copies``.
 
-    ``change`` is ``added`` or ``removed``. Both versions are reduced to (row, net
-    copies) before the shuffle, so repeated rows do not pile up in one task.
-    NULLs compare equal.
+    ``change`` is ``added`` or ``removed``. Rows meet as 128-bit digests with their net copies,
+    added up before the shuffle; only the rows whose digests differ are then taken from the
+    version that has more of them. NULLs compare equal.
     """
     names = list(columns) if columns is not None else new.columns
-    both = new.select(*names, F.lit(1).cast("bigint").alias("_sign")).unionByName(
-        old.select(*names, F.lit(-1).cast("bigint").alias("_sign"))
-    )
-    net = both.groupBy(*names).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
-    return net.select(
-        *names,
-        F.when(F.col("_net") > 0, F.lit("added")).otherwise(F.lit("removed")).alias("change"),
-        F.abs("_net").alias("copies"),
-    )
+    signed = [
+        df.select(*row_digests(df, names), F.lit(sign).cast("bigint").alias("_sign")) for df, sign in ((new, 1), (old, -1))
+    ]
+    keys = ["_first", "_second"]
+    net = signed[0].unionByName(signed[1]).groupBy(*keys).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
+    # Stored, its size is known: a small difference is sent to the rows, not the rows to it.
+    net = store(net, "revision-net")
+
+    def rows(df: DataFrame, wanted: Column, change: str) -> DataFrame:
+        hashed = df.select(*names, *row_digests(df, names))
+        found = hashed.join(net.filter(wanted), keys).groupBy(*keys)
+        once = found.agg(*[F.first(f"`{c}`").alias(c) for c in names], F.first("_net").alias("_net"))
+        return once.select(*names, F.lit(change).alias("change"), F.abs("_net").alias("copies"))
+
+    return rows(new, F.col("_net") > 0, "added").unionByName(rows(old, F.col("_net") < 0, "removed"))
 
 
 def diff_changed_partitions(
@@ -151,3 +176,12 @@ def new_entities(old: DataFrame, new: DataFrame, entity: Sequence[str]) -> DataF
     """
     names = list(entity)
     return new.select(*names).distinct().join(old.select(*names).distinct(), names, "left_anti")
+
+
+def fingerprint_by_schema(groups: Sequence[tuple[T.StructType, DataFrame]], by: Sequence[str] = KEY) -> DataFrame:
+    """Fingerprints of partitions of several schemas, each over the columns it was written with."""
+    parts = [content_fingerprint(data, by, archived_payload(data)) for _, data in groups]
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part)
+    return united

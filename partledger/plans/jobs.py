@@ -141,17 +141,22 @@ def emit_provenance(
     pipeline: dict[str, str],
     spec: DatasetSpec = SIA_PA,
     allow_cache_fallback: bool = False,
+    described: DataFrame | None = None,
+    prints: DataFrame | None = None,
 ) -> DataFrame:
     """Outcome of each partition, with the document ``text`` of those written.
 
-    ``partitions``: ``KEY, record_text, kept_text, parquet_sha``.
+    ``partitions``: ``KEY, record_text, kept_text, parquet_sha``. ``described`` (``KEY, schema``,
+    as ``publish.describe_published`` gives it) and ``prints`` (as ``fingerprint_by_schema``
+    does) say what each partition was written with; without them ``staged`` has one schema.
     """
     chosen = lineage.choose_sources(partitions, cache, spec, allow_cache_fallback)
     outcomes = lineage.emission_outcomes(chosen, allow_cache_fallback)
-    described = lineage.describe_output(staged).select(*KEY, "schema")
-    prints = fingerprint.content_fingerprint(staged, KEY, fingerprint.archived_payload(staged))
+    described = lineage.describe_output(staged) if described is None else described
+    if prints is None:
+        prints = fingerprint.content_fingerprint(staged, KEY, fingerprint.archived_payload(staged))
     full = (
-        outcomes.join(described, KEY, "left")
+        outcomes.join(described.select(*KEY, "schema"), KEY, "left")
         .join(prints, KEY, "left")
         .withColumn("sha256", F.col("parquet_sha"))
     )

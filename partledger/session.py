@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Counts by partition are then taken from footers.
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # A union of joins would otherwise claim their partitioning, and a join above it fails
     # once adaptive execution coalesces the two inputs differently.

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partledger.session import store
 from partledger.sources.listings import scan_local_tree
 from partledger.spec import KEY
 
@@ -120,7 +123,72 @@ def scan_union_by_name(
     return union_by_name([vintage(g) for g in globs])
 
 
+def prune_partitions(data: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the partitions that ``keys`` (``KEY``, stored) names.
+
+    The units and months among the keys become constant predicates on partition columns, so
+    other directories are not opened however large the join's sides are thought to be; the
+    semi join then keeps the exact pairs. Only as many values as there are units and months
+    reach the driver.
+    """
+    wanted = keys.select(*KEY).distinct()
+    seen = wanted.agg(F.collect_set("uf").alias("ufs"), F.collect_set(F.col("ano") * 100 + F.col("mes")).alias("months")).first()
+    near = data.filter(F.col("uf").isin(sorted(seen["ufs"])) & (F.col("ano") * 100 + F.col("mes")).isin(sorted(seen["months"])))
+    return near.join(wanted, KEY, "left_semi")
+
+
 def scan_from_manifest(data: DataFrame, announced: DataFrame) -> DataFrame:
-    """Archived rows of the partitions a catalog announces (semi join on partition columns,
-    which Spark turns into partition pruning)."""
-    return data.join(announced.select(*KEY).distinct(), KEY, "left_semi")
+    """Archived rows of the partitions a catalog announces; see :func:`prune_partitions`."""
+    return prune_partitions(data, store(announced.select(*KEY).distinct(), "announced"))
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def footer_row_counts(spark: SparkSession, root: str, by: Sequence[str] = KEY) -> DataFrame:
+    """Rows per partition from Parquet footers: the count is pushed into the scan, so work grows
+    with the number of row groups and no page is read. ``by`` names partition columns."""
+    listed = [x for x in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
+    # The reader that takes aggregates is chosen when the files are loaded.
+    with _setting(spark, "spark.sql.sources.useV1SourceList", ",".join(listed)):
+        reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
+        files = reader.parquet(f"{root.rstrip('/')}/*=*")
+    counts = files.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+    return _typed_key(counts)
+
+
+def schema_groups(spark: SparkSession, root: str, files: DataFrame) -> list[tuple[T.StructType, DataFrame]]:
+    """The tree's partitions by the schema they were written with: one scan per schema.
+
+    ``files`` is the table of published files; its schemas, not footers, decide, so a change
+    inside a year is seen and nothing is merged. One path per partition reaches the driver.
+    """
+    per_schema = (
+        files.select("ddl", F.regexp_replace("name", "/[^/]+\\z", "").alias("dir"))
+        .groupBy("ddl")
+        .agg(F.array_sort(F.collect_set("dir")).alias("dirs"))
+        .orderBy("ddl")
+        .collect()
+    )
+    groups = []
+    for row in per_schema:
+        schema = T.StructType.fromJson(json.loads(row["ddl"]))
+        reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet").schema(schema)
+        groups.append((schema, _typed_key(reader.parquet(*[f"{root.rstrip('/')}/{d}" for d in row["dirs"]]))))
+    return groups
+
+
+def scan_published(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """The whole tree as one table, columns united by name and widened to the types they need,
+    whatever partition or file their types change at."""
+    return union_by_name([data for _, data in schema_groups(spark, root, files)])
