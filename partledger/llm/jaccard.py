@@ -39,8 +39,8 @@ def index_length(n: Column, percent: int) -> Column:
     return n - F.ceil(n * (2 * percent) / (100 + percent)) + 1
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
-    """``doc_id, n, cls, region``: set size, hash of the set, its smallest shingle hashes.
+def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, *more: Column) -> DataFrame:
+    """``doc_id, n, cls, region`` and ``more``: set size, hash of the set, its smallest shingle hashes.
 
     The region holds the prefix and some more, for shingles that will be put last.
     """
@@ -67,8 +67,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, percent:
         n = np.concatenate(n_all) if n_all else np.zeros(0, np.int64)
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(cls_all, pa.int64()), region], fields=list(kind))
 
-    made = docs.select(F.col(id_col).alias("doc_id"), signed(text_col).alias("s"))
-    return made.select("doc_id", "s.*")
+    made = docs.select(F.col(id_col).alias("doc_id"), signed(text_col).alias("s"), F.struct(F.lit(0), *more).alias("m"))
+    return made.select("doc_id", "s.*", *[F.col("m")[c].alias(c) for c in made.schema["m"].dataType.names[1:]])
 
 
 def _set_hash(values: np.ndarray) -> int:
@@ -316,11 +316,12 @@ def similar_documents(
         return _similar_documents(docs, id_col, text_col, width, percent, short_list)
 
 
-def _similar_documents(
-    docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int
-) -> DataFrame:
-    """All jobs that run Python run in here; the result joins stored tables."""
-    signed = store(signatures(docs, id_col, text_col, width, percent), "jaccard-signatures")
+def _linked(
+    docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int, *more: Column
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, classes, and the components of linked classes; all jobs that run
+    Python run in here."""
+    signed = store(signatures(docs, id_col, text_col, width, percent, *more), "jaccard-signatures")
     full = signed.filter("n > 0")
     classes = store(
         full.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "jaccard-classes"
@@ -336,7 +337,14 @@ def _similar_documents(
     )
     regions = full.join(others, (F.col("cls") == F.col("_cls")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
     links = class_links(docs, classes, regions, id_col, text_col, width, percent, short_list)
-    labels = components(links)
+    return signed, classes, components(links)
+
+
+def _similar_documents(
+    docs: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int
+) -> DataFrame:
+    """The result joins stored tables."""
+    signed, classes, labels = _linked(docs, id_col, text_col, width, percent, short_list)
     named = classes.select("cls", F.col("doc_id").alias("least")).join(labels, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
     )
@@ -502,20 +510,34 @@ def remaining_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> Dat
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: the one of smallest id.
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, short_list: int = SHORT_LIST
+) -> DataFrame:
+    """``docs`` with one row of each component: the one of smallest id, then of smallest text hash.
 
-    Rows that repeat an id and text stay once. Rows without an id always stay, as nothing
-    tells them apart.
+    A row is told by its id and text, so an id given to several texts loses none of them
+    unless another text stands for it. NULL ids come last and take part like others. Rows
+    that repeat an id and text stay once. Rows without words link with nothing and all
+    stay. Columns may have any names.
     """
-    found = similar_documents(docs, id_col, text_col, **options).filter("doc_id is not null")
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_drop"))
-    kept = docs.join(drop, F.col(id_col) == F.col("_drop"), "left_anti")
-    repeated = found.groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_again")
-    repeated = store(repeated, "jaccard-repeated")
-    if repeated.isEmpty():
-        return kept
-    again = F.col(id_col) == F.col("_again")
-    return kept.join(repeated, again, "left_anti").unionByName(
-        kept.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col])
+    # Names of the row's own columns live inside a struct, so that none can clash.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("text_hash"),
     )
+    with small_batches(docs.sparkSession):
+        signed, _, labels = _linked(docs, id_col, text_col, width, percent, short_list, F.xxhash64(text_col).alias("text_hash"))
+        grouped = signed.filter("n > 0").select("cls", "doc_id", "text_hash").join(labels, "cls", "left")
+        grouped = grouped.select(F.coalesce("component", "cls").alias("component"), "doc_id", "text_hash")
+        rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"))
+        best = grouped.groupBy("component").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+        crowd = grouped.join(store(best, "jaccard-best"), "component")
+        fate = crowd.groupBy("doc_id", "text_hash").agg(
+            F.max(rank.eqNullSafe(F.col("best"))).alias("stays"), F.count(F.lit(1)).alias("times")
+        )
+        fate = store(fate, "jaccard-fate")
+    mine = rows["id"].eqNullSafe(fate["doc_id"]) & (rows["text_hash"] == fate["text_hash"])
+    once = rows.join(fate.filter("not stays or times > 1"), mine, "left_anti").select("row")
+    again = rows.join(fate.filter("stays and times > 1"), mine, "left_semi").dropDuplicates(["id", "text_hash"]).select("row")
+    return once.unionByName(again).select("row.*")

@@ -81,16 +81,23 @@ def rebalance(owner: dict[int, int], loads: dict[int, int], shards: int) -> dict
 
 
 def next_map(
-    spark: SparkSession, loads: DataFrame, shards: int, folder: str, version: int, before: DataFrame | None = None
+    spark: SparkSession,
+    loads: DataFrame,
+    shards: int,
+    folder: str,
+    version: int,
+    before: DataFrame | None = None,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Writes version ``version`` of the slot-to-shard map below ``folder`` and reads it back.
 
-    ``before`` is the map in force; without one, slots are first owned in turn. SLOTS rows at
-    most are collected, a bound that holds at any data size.
+    The map owns every slot, also those that hold nothing yet, so records that come later have
+    a shard. ``before`` is the map in force; without one, slots are first owned in turn. As
+    many rows as there are slots are collected, a bound that holds at any data size.
     """
     rows = loads.collect()
-    size = {r["virtual_slot"]: r["slot_bytes"] for r in rows}
-    count = {r["virtual_slot"]: r["slot_rows"] for r in rows}
+    size = dict.fromkeys(range(slots), 0) | {r["virtual_slot"]: r["slot_bytes"] for r in rows}
+    count = dict.fromkeys(range(slots), 0) | {r["virtual_slot"]: r["slot_rows"] for r in rows}
     if before is None:
         owner = {s: s % shards for s in size}
     else:
@@ -105,15 +112,22 @@ def next_map(
 def assign_shards(
     docs: DataFrame, slot_map: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with ``shard`` and ``virtual_slot``, taken from a map of SLOTS rows at most.
+    """``docs`` with ``shard`` and ``virtual_slot``, taken from a map of SLOTS rows.
+
+    Every slot has an owner, so no record is lost whenever it came; NULL and repeated ids and
+    texts have a slot like any other.
 
     The map is bounded, hence broadcast; rows do not move. Columns of the same names are replaced.
     """
     kept = [c for c in docs.columns if c not in ("shard", "virtual_slot")]
-    small = slot_map.select(F.col("virtual_slot").alias("_slot"), F.col("shard").alias("_shard"))
-    slot = virtual_slot(F.col(id_col), F.col(text_col), slots)
-    return docs.join(F.broadcast(small), slot == F.col("_slot")).select(
-        *kept, F.col("_shard").alias("shard"), F.col("_slot").alias("virtual_slot")
+    # The row travels as a struct, so that its columns may have any names.
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        virtual_slot(F.col(id_col), F.col(text_col), slots).alias("slot"),
+    )
+    small = slot_map.select(F.col("virtual_slot").alias("slot"), "shard")
+    return rows.join(F.broadcast(small), "slot").select(
+        *[F.col("row")[c].alias(c) for c in kept], "shard", F.col("slot").alias("virtual_slot")
     )
 
 
@@ -131,7 +145,7 @@ def shard_documents(
     """
     spark = docs.sparkSession
     loads = slot_loads(docs, slots, id_col, text_col)
-    slot_map = next_map(spark, loads, shards, new_folder(spark, "slot-map"), 1)
+    slot_map = next_map(spark, loads, shards, new_folder(spark, "slot-map"), 1, slots=slots)
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slot_map.select(
         F.col("virtual_slot").alias("_slot"),
