@@ -135,7 +135,7 @@ def test_jaccard_keeps_one_of_each(docs):
     expected = {r[0] for r in brute_components(collected(docs, *DOCS_COLUMNS)) if r[0] is not None and r[0] == r[2]}
     ids = [r[0] for r in collected(kept, "doc_id")]
     assert {i for i in ids if i is not None} == expected
-    # Of the rows without an id, the one without words stays; the other is a copy of row 0.
+    # Of the rows without an id, the one with a text of its own stays; the other is a copy of row 0.
     assert ids.count(308) == 1 and ids.count(None) == 1
 
 
