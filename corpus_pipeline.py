@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partledger.llm import decontamination, jaccard, mixing, sharding, toxicity
-from partledger.llm.common import new_folder, read_table, store
+from partledger.llm.common import new_folder, read_table, small_batches, store
 from partledger.llm.registered import SHARDS, learn_lexicon
 
 #: Words in a shingle, and the similarity of near copies in percent, of the stage; the query op7 has its own.
@@ -60,6 +60,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    # A stage's last job runs while it is stored: its workers get small batches there too.
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
