@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partledger.llm import decontamination, jaccard, mixing, sharding, toxicity
-from partledger.llm.common import new_folder, read_table, small_batches, store
+from partledger.llm.common import keep_batches_small, new_folder, read_table, store
 from partledger.llm.registered import SHARDS, learn_lexicon
 
 #: Words in a shingle, and the similarity of near copies in percent, of the stage; the query op7 has its own.
@@ -20,18 +20,31 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; learned from the labels that are not held out."""
+    """Documents that score below one half; learned from the labels that are not held out.
+
+    NULL and empty texts are not toxic and stay; repeated rows have one fate; no rows, none.
+    """
+    # The stage's last job runs when its result is written.
+    keep_batches_small(spark)
     lexicon = learn_lexicon(spark, docs, sf_dir)
     return docs.filter(toxicity.score_udf(lexicon)("text") < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that similar ones link, by the stage's own width and percent."""
+    """One document of each group that similar ones link, by the stage's own width and percent.
+
+    Rows without words stay; NULL and repeated ids are told by their texts; no rows, none.
+    """
+    keep_batches_small(spark)
     return jaccard.keep_one(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages they share with benchmark items."""
+    """Documents without the passages they share with benchmark items.
+
+    NULL and empty texts stay as they are, repeated rows are cut alike; no rows, none.
+    """
+    keep_batches_small(spark)
     return decontamination.remove_contamination(docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -60,8 +73,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    # A stage's last job runs while it is stored: its workers get small batches there too.
-    with small_batches(spark):
-        for name, stage in STAGES:
-            docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -61,13 +61,23 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000, size: str = "2m") -> Iterator[None]:
-    """Arrow batches of fewer rows and bytes for the jobs that run inside, so that workers stay small."""
-    wanted = {
+def batch_settings(rows: int, size: str) -> dict[str, str]:
+    return {
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
         "spark.sql.execution.arrow.maxBytesPerBatch": size,
     }
+
+
+def keep_batches_small(spark: SparkSession, rows: int = 1000, size: str = "2m") -> None:
+    """Small Arrow batches from now on, for results that are only computed after a function returns."""
+    for key, value in batch_settings(rows, size).items():
+        spark.conf.set(key, value)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "2m") -> Iterator[None]:
+    """Arrow batches of fewer rows and bytes for the jobs that run inside, so that workers stay small."""
+    wanted = batch_settings(rows, size)
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
