@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -39,6 +40,7 @@ QUERIES = [
     "budget_over_all_partitions",
     "scan_dataset",
     "scan_from_manifest",
+    "footer_row_counts",
     "scan_union_by_name",
     "period_filter",
     "count_by_establishment",
@@ -72,6 +74,7 @@ def main() -> None:
         .appName("partledger-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     ).getOrCreate()
