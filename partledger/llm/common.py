@@ -61,6 +61,12 @@ def crc_mod(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus)
 
 
+def hash_share(seed: int, key: Column, share: Column | float) -> Column:
+    """Whether a row belongs to the given share of all keys, by their hash: no sort, no limit, the same in every run."""
+    share = F.lit(share) if isinstance(share, (int, float)) else share
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 31)) < share * float(1 << 31)
+
+
 def batch_settings(rows: int, size: str) -> dict[str, str]:
     return {
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),

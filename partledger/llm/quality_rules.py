@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partledger.llm.common import WORD, let, store, words_of
+from partledger.llm.common import WORD, hash_share, let, store, words_of
 
 #: Buckets of the hashed n-gram multinomials.
 BUCKETS = 8192
+#: Trusted documents that the trusted multinomial is fitted on, about, at most.
+FIT_ROWS = 100_000
 #: Share of the trusted documents that may fall below the threshold.
 TRUSTED_LOSS = 0.002
 MIN_WORDS = 50
@@ -73,6 +75,12 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
+def fit_ids(trusted: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """About ``fit_rows`` of the distinct trusted ids, by their hash; all of them if there are no more."""
+    n = trusted.count()
+    return trusted.filter(hash_share(17, F.col("doc_id"), fit_rows / n)) if n > fit_rows else trusted
+
+
 def gram_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Log ratio of each bucket's probability in the trusted and in all documents.
 
@@ -100,13 +108,15 @@ def apply_rules(
     labels: DataFrame,
     buckets: int = BUCKETS,
     trusted_loss: float = TRUSTED_LOSS,
+    fit_rows: int = FIT_ROWS,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``llr`` and ``kept`` of every row of ``docs``.
 
     ``llr`` is the mean over a text's words and word pairs of the log ratio between the
-    trusted and the raw multinomial, counted over all of them. The threshold is the ``trusted_loss`` quantile of the
-    trusted documents' own means, so it is fixed by the tables and every document is judged
-    alike. Without trusted documents nothing but the base rules decides.
+    trusted and the raw multinomial. The raw one counts every document, the trusted one those of
+    about ``fit_rows`` trusted ids, few enough to be sent to the texts. The threshold is the
+    ``trusted_loss`` quantile of the means of all trusted documents, found from stored figures
+    without their texts, so it is fixed by the tables and every document is judged alike. Without trusted documents nothing but the base rules decides.
 
     NULL and empty texts have no words, ``llr`` 0 and fail the base rules; a NULL id is never
     trusted; repeated rows are judged each on its own. Columns of ``docs`` other than
@@ -114,7 +124,7 @@ def apply_rules(
     """
     picked = docs.select("doc_id", "text")
     trusted = store(trusted_ids(labels), "trusted-ids")
-    weights = gram_weights(picked, trusted, buckets)
+    weights = gram_weights(picked, F.broadcast(fit_ids(trusted, fit_rows)), buckets)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")
     text = F.coalesce(F.col("text"), F.lit(""))
 
@@ -150,7 +160,8 @@ def apply_rules(
     ).select("doc_id", "word_chars", "n_symbols", "n_dup_lines", "_judged.*")
     features = store(features, "quality-features")
     least = (
-        features.join(trusted, "doc_id", "left_semi")
+        features.select("doc_id", "llr")
+        .join(trusted, "doc_id", "left_semi")
         .agg(F.percentile_approx("llr", F.lit(trusted_loss), F.lit(10_000)))
         .first()[0]
     )
