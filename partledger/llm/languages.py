@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from partledger.llm.common import hash_share, small_batches
 
 #: Hashed character n-gram features.
 FEATURES = 2048
@@ -105,28 +106,34 @@ class LanguageModel:
 
 
 def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Fits a model on rows with text and language, at most ``train_rows``, chosen by hash.
+    """Fits a model on about ``train_rows`` rows with text and language, the same number of each language.
 
-    Features are made on the executors; the driver gets ``train_rows`` vectors at most.
+    Ids are chosen by their hash, from the share of a language's ids that its number calls for (counted
+    to within some 5%), so no language is sorted. An id that is repeated counts once, with the row whose text and
+    language hash least; a NULL id is an id like others. Features are made on the executors, the
+    driver gets the vectors. Equal tables give equal models.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    n_languages = known.agg(F.count_distinct("lang")).first()[0]
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct(key).alias("n")).collect()}
+    each = max(1, train_rows // max(1, len(sizes)))
+    shares = docs.sparkSession.createDataFrame(
+        [(g, min(1.0, each / max(1, n))) for g, n in sizes.items()], "lang string, _share double"
+    )
 
     @F.arrow_udf("binary")
     def vectors(texts: pa.Array) -> pa.Array:
         made = (features(t).astype(np.float16).tobytes() if has_letter(t) else None for t in texts.to_pylist())
         return pa.array(made, pa.binary())
 
-    order = Window.partitionBy("lang").orderBy("_rank", "doc_id")
-    ids = (
-        known.select("doc_id", "lang", F.xxhash64(F.lit(5), "doc_id").alias("_rank"))
-        .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= max(1, train_rows // max(1, n_languages)))
-        .select("doc_id")
-        .distinct()
+    # Few rows are left here; copies of an id are reduced to one before they are shuffled.
+    picked = known.join(F.broadcast(shares), "lang").filter(hash_share(5, key, F.col("_share")))
+    once = picked.groupBy(key.alias("_key")).agg(
+        F.min(F.struct(F.xxhash64("text", "lang").alias("h"), "text", "lang")).alias("r")
     )
-    rows = known.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", vectors("text").alias("v"))
-    rows = rows.filter("v is not null").limit(2 * train_rows).collect()
+    with small_batches(docs.sparkSession):
+        rows = once.select("_key", "r.lang", vectors("r.text").alias("v")).filter("v is not null").collect()
+    rows.sort(key=lambda r: r["_key"])
     x = np.array([np.frombuffer(r["v"], np.float16) for r in rows], np.float32).reshape(len(rows), FEATURES)
     return LanguageModel(x, [r["lang"] for r in rows])
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from partledger.llm import quality_rules, site_quality
+from partledger.llm import languages, quality_rules, site_quality
 from test_operators import DOCS, brute_components, prose, shingles
 
 TABLES = "/root/testdata/sf0.001"
@@ -102,3 +102,44 @@ def test_every_trusted_document_counts(spark):
     assert quality_rules.trusted_ids(labels).count() == 20_500
     docs = spark.range(20_600).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
     assert set(quality_rules.gram_weights(docs.filter("doc_id < 20500"), quality_rules.trusted_ids(labels), 8)) == {0.0}
+
+
+def test_trusted_fit_is_bounded_and_its_threshold_is_not(spark):
+    trusted = spark.range(5000).select(F.col("id").alias("doc_id"))
+    some = {r[0] for r in quality_rules.fit_ids(trusted, 500).collect()}
+    assert 400 < len(some) < 600 and some == {r[0] for r in quality_rules.fit_ids(trusted.repartition(5), 500).collect()}
+    assert quality_rules.fit_ids(trusted, 5000).count() == 5000
+
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.expr("repeat(concat('w', id % 7, ' v', id % 5, ' '), 3) || repeat('u ', 60 + int(id % 3))").alias("text")
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(docs, labels, trusted_loss=0.25, fit_rows=20).collect()}
+    good = sorted(got[k]["llr"] for k in range(1, 400, 2))
+    least = good[math.ceil(0.25 * len(good)) - 1]
+    assert all(r["kept"] == (not r["base_failed"] and r["llr"] >= least) for r in got.values())
+
+
+def test_language_sample_takes_one_row_of_a_repeated_id(spark):
+    """An id with two thirds of all rows, and rows without an id, do not fill the sample."""
+    rows = [(k, f"the cat and the dog number {k} went home", "en") for k in range(60)]
+    rows += [(k, f"le chat et le chien numero {k} rentrent", "fr") for k in range(60, 120)]
+    rows += [(7, f"the house {k % 3} is old", "en") for k in range(300)] + [(None, "der hund", "de")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    original = languages.LanguageModel
+
+    class Spy(original):
+        def __init__(self, x, names, *rest):
+            seen.append((len(x), sorted(names)))
+            super().__init__(x, names, *rest)
+
+    languages.LanguageModel = Spy
+    try:
+        model = languages.learn(docs)
+        again = languages.learn(docs.repartition(7))
+    finally:
+        languages.LanguageModel = original
+    assert seen[0] == seen[1] and seen[0][0] == 121
+    assert all((model.machines[k] == again.machines[k]).all() for k in model.machines)
+    assert model.predict("the dog and the cat")[0] == "en" and model.predict("le chien et le chat")[0] == "fr"
