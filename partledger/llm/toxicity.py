@@ -119,7 +119,11 @@ def learn(
     although they begin like a term become exceptions, besides the given phrases.
     """
     ids = labelled_sample(labels, sample_rows)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null")
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").filter("text is not null")
+    # An id that is repeated counts once, with the text that hashes least.
+    sample = found.groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).getField("text").alias("text")
+    )
 
     @F.arrow_udf("struct<terms: array<string>, words: array<string>, marks: array<long>>")
     def described(texts: pa.Array) -> pa.Array:
@@ -205,7 +209,7 @@ def learn(
         starts = F.array(*[F.lit(t.strip()) for t in chosen])
         excused = [
             r["term"]
-            for r in counted("words").filter(clean).filter(F.exists(starts, lambda s: F.startswith("term", s))).limit(MOST_TERMS).collect()
+            for r in counted("words").filter(clean).filter(F.exists(starts, lambda s: F.startswith("term", s))).orderBy("term").collect()
         ]
     lexicon = Lexicon(chosen, [f" {e.strip()} " for e in (*exceptions, *excused)])
 

@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from partledger.llm import languages, quality_rules, site_quality
-from test_operators import DOCS, brute_components, prose, shingles
+from partledger.llm import languages, quality_rules, site_quality, toxicity
+from test_operators import DOCS, brute_components, prose, shingles, toxic_corpus
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -143,3 +143,11 @@ def test_language_sample_takes_one_row_of_a_repeated_id(spark):
     assert seen[0] == seen[1] and seen[0][0] == 121
     assert all((model.machines[k] == again.machines[k]).all() for k in model.machines)
     assert model.predict("the dog and the cat")[0] == "en" and model.predict("le chien et le chat")[0] == "fr"
+
+
+def test_toxic_sample_takes_one_row_of_a_repeated_id(spark):
+    texts, labels = toxic_corpus()
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    copies = docs.crossJoin(spark.range(40)).select("doc_id", "text").filter("doc_id < 3")
+    assert vars(toxicity.learn(docs, table)) == vars(toxicity.learn(docs.unionByName(copies).repartition(6), table))
