@@ -9,6 +9,7 @@ from checks.data_queries import COLUMNS, PRINTS
 from checks.registry import Inputs, register
 from partledger.functions import names
 from partledger.plans import analytics
+from partledger.sinks.runs import read_runs
 from partledger.spec import KEY
 from partledger.streaming import incremental
 
@@ -262,6 +263,56 @@ def _(t):
     )
 
 
+@register(
+    "replayed_batch",
+    "listing known",
+    "SELECT uf, period, reason, 2 AS run FROM late UNION ALL SELECT uf, period, 'novo', 0 FROM earlier",
+    _EARLIER,
+)
+def _(t):
+    """Run 1 is tried with the whole listing and replayed with nothing, so run 2 finds everything again."""
+
+    def build(path):
+        name = F.concat(F.lit("PA"), "uf", names.two_digits(F.col("ano") - 2000), names.two_digits(F.col("mes")), F.lit(".dbc"))
+        earlier = t.known.select(name.alias("name"), "size", F.col("newest").alias("mtime"))
+        listing = t.listing.select("name", "size", "mtime")
+        incremental.seed_state(t.state.filter("false"), f"{path}/state")
+        handle = incremental.listing_batch(t.spark, f"{path}/state", f"{path}/pending")
+        for batch, run in ((earlier, 0), (earlier, 0), (listing, 1), (listing.filter("false"), 1), (listing, 2)):
+            handle(batch, run)
+
+    return read_runs(t.spark, t.once("replayed_batch", build) + "/pending").select("uf", "period", "reason", "run")
+
+
+@register(
+    "split_reexports",
+    "lines published_lines",
+    """
+    SELECT uf, ano, mes, 2 AS export, rows, fingerprint, outcome <> 'unchanged' AS changed FROM outcomes
+    UNION ALL SELECT uf, ano, mes, 1, rows, fingerprint, true FROM published_prints
+    """,
+    PRINTS,
+)
+def _(t):
+    """Two exports arrive in files that cut every partition, a batch for each file."""
+
+    def build(path):
+        versions = [v.select(*COLUMNS, *KEY).withColumn("export", F.lit(n)) for n, v in ((1, t.published_lines), (2, t.lines))]
+        for version in versions:
+            version.repartition(2).write.mode("append").parquet(f"{path}/in")
+        declared = versions[0].unionByName(versions[1]).groupBy(*KEY, "export").agg(F.count(F.lit(1)).alias("rows"))
+        declared.write.parquet(f"{path}/declared")
+        arriving = t.spark.readStream.schema(versions[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        incremental.stream_reexports(
+            t.spark, arriving, KEY, t.spark.read.schema(declared.schema).parquet(f"{path}/declared"),
+            f"{path}/parts", f"{path}/prints", f"{path}/checkpoint", payload=COLUMNS,
+        ).awaitTermination()
+
+    return read_runs(t.spark, t.once("split_reexports", build) + "/prints").select(
+        "uf", F.col("ano").cast("int").alias("ano"), F.col("mes").cast("int").alias("mes"), "export", "rows", "fingerprint", "changed"
+    )
+
+
 @register(
     "stream_partition_counts",
     sql="SELECT event_type, cast(ts AS date) AS day, count(*) AS rows FROM events GROUP BY 1, 2",
@@ -275,5 +326,5 @@ def _(t: Inputs):
             t.spark, days, ["event_type", "day"], f"{path}/counts", f"{path}/checkpoint"
         ).awaitTermination()
 
-    counts = t.spark.read.parquet(t.once("stream_counts", build) + "/counts")
+    counts = read_runs(t.spark, t.once("stream_counts", build) + "/counts")
     return counts.groupBy("event_type", "day").agg(F.sum("rows").alias("rows"))

@@ -48,16 +48,12 @@ def archived_payload(df: DataFrame) -> Column:
     return jsontext.row_json(fields)
 
 
-def content_fingerprint(
-    df: DataFrame, by: Sequence[str], payload: Column | None = None
-) -> DataFrame:
-    """Row count and multiset fingerprint per group of ``by``.
+#: What a fingerprint is made of: counts and sums add up over any split of a group's rows.
+PARTS = "rows bigint, low bigint, middle bigint, high bigint, xor bigint"
 
-    Each row is hashed where it is read; counts, limb sums and xor are combined
-    before the shuffle, so only one record per (task, group) moves and a hot
-    group costs no more than a cold one. Duplicates count: a sum does not cancel.
-    With no grouping columns an empty input still yields one row.
-    """
+
+def fingerprint_parts(df: DataFrame, by: Sequence[str], payload: Column | None = None) -> DataFrame:
+    """The :data:`PARTS` of each group of ``by``, to be merged with those of further rows."""
     payload = row_payload(df) if payload is None else payload
     hashed = df.select(*by, F.md5(payload.cast("binary")).alias("_digest")).select(
         *by,
@@ -65,16 +61,39 @@ def content_fingerprint(
         swap_bytes(hex_word(F.col("_digest"), 17)).alias("_lower"),
     )
     low, middle, high = limbs(F.col("_lower"))
-    sums = hashed.groupBy(*by).agg(
+    return hashed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(low).alias("_low"),
-        F.sum(middle).alias("_middle"),
-        F.sum(high).alias("_high"),
-        F.bit_xor("_upper").alias("_xor"),
+        F.sum(low).alias("low"),
+        F.sum(middle).alias("middle"),
+        F.sum(high).alias("high"),
+        F.bit_xor("_upper").alias("xor"),
     )
-    total = limb_sum_hex(F.col("_low"), F.col("_middle"), F.col("_high"))
-    xor = F.hex(swap_bytes(F.col("_xor")))
-    return sums.select(*by, "rows", format_fingerprint(F.col("rows"), total, xor).alias("fingerprint"))
+
+
+def merge_parts(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row of parts per group, as if all its rows had been read at once."""
+    sums = [F.sum(c).alias(c) for c in ("rows", "low", "middle", "high")]
+    return parts.groupBy(*by).agg(*sums, F.bit_xor("xor").alias("xor"))
+
+
+def finish_parts(parts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, rows, fingerprint`` of merged parts."""
+    total = limb_sum_hex(F.col("low"), F.col("middle"), F.col("high"))
+    xor = F.hex(swap_bytes(F.col("xor")))
+    return parts.select(*by, "rows", format_fingerprint(F.col("rows"), total, xor).alias("fingerprint"))
+
+
+def content_fingerprint(
+    df: DataFrame, by: Sequence[str], payload: Column | None = None
+) -> DataFrame:
+    """Row count and multiset fingerprint per group of ``by``.
+
+    Each row is hashed where it is read; counts, limb sums and xor are combined
+    before the shuffle, so only one record per (task, group) moves and a hot
+    group costs no more than a cold one. Duplicates count: a sum does not cancel.
+    With no grouping columns an empty input still yields one row.
+    """
+    return finish_parts(fingerprint_parts(df, by, payload), by)
 
 
 def compare_fingerprints(current: DataFrame, published: DataFrame, by: Sequence[str]) -> DataFrame:

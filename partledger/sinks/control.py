@@ -7,25 +7,19 @@ from pyspark.sql import functions as F
 
 from partledger.functions import names
 from partledger.functions.times import iso_millis
+from partledger.sinks.runs import read_runs, write_run
 from partledger.spec import KEY
 
 
 def append_state(merged: DataFrame, root: str, run: int) -> None:
     """Adds the entries of one run to the state log.
 
-    Writing the same run again replaces it, so a replayed run changes nothing.
+    Writing a run again replaces it, also by fewer entries or none.
     """
-    (
-        merged.select("uf", "period", "size", "mtime")
-        .withColumn("run", F.lit(run))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run")
-        .parquet(root)
-    )
+    write_run(merged.select("uf", "period", "size", "mtime"), root, run)
 
 
-STATE_LOG = "uf string, period string, size bigint, mtime timestamp, run int"
+STATE_LOG = "uf string, period string, size bigint, mtime timestamp"
 
 
 def latest_state(spark: SparkSession, root: str, before_run: int | None = None) -> DataFrame:
@@ -34,9 +28,7 @@ def latest_state(spark: SparkSession, root: str, before_run: int | None = None)
     ``before_run`` ignores that run and later ones. The newest entry is found by a
     partially aggregated maximum, not by sorting each key's history.
     """
-    log = spark.read.schema(STATE_LOG).parquet(root)
-    if before_run is not None:
-        log = log.filter(F.col("run") < before_run)
+    log = read_runs(spark, root, STATE_LOG, before_run)
     newest = log.groupBy("uf", "period").agg(
         F.max_by(F.struct("size", "mtime"), F.col("run")).alias("_e")
     )

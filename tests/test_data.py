@@ -516,6 +516,65 @@ def test_stream_republications(spark, tmp_path):
     assert rows(got, "run", "k", "changed") == [("0", "a", True), ("0", "b", True), ("1", "a", False), ("1", "b", True)]
 
 
+def test_a_replayed_run_leaves_nothing_of_its_first_try(spark, tmp_path):
+    from partledger.sinks.runs import read_runs, start_log, write_run
+
+    root = str(tmp_path / "log")
+    start_log(spark, root, "k string")
+    assert read_runs(spark, root, "k string").count() == 0
+    frame = lambda *keys: spark.createDataFrame([(k,) for k in keys], "k string")
+    write_run(frame("a"), root, 0)
+    write_run(frame("b", "c"), root, 1)
+    start_log(spark, root, "k string")
+    assert rows(read_runs(spark, root)) == [("a", 0), ("b", 1), ("c", 1)]
+    write_run(frame("d"), root, 1)
+    assert rows(read_runs(spark, root)) == [("a", 0), ("d", 1)]
+    write_run(frame(), root, 1)
+    assert rows(read_runs(spark, root)) == [("a", 0)]
+    # A try without its commit mark is not there.
+    stopped = frame("z").withColumn("run", F.lit(2)).withColumn("attempt", F.lit("x"))
+    stopped.write.mode("append").partitionBy("run", "attempt").parquet(root)
+    assert rows(read_runs(spark, root, "k string")) == [("a", 0)]
+    assert read_runs(spark, root, "k string", before_run=0).count() == 0
+
+
+def test_a_batch_is_replayed_after_its_commit_is_lost(spark, tmp_path):
+    from partledger.sinks.runs import read_runs
+
+    src, counts, cp = (str(tmp_path / d) for d in ("in", "counts", "cp"))
+    for n in range(2):
+        spark.createDataFrame([("a",), ("b",)], "k string").coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema("k string").parquet(src)
+        incremental.stream_partition_counts(spark, stream, ["k"], counts, cp).awaitTermination()
+    for name in ("1", ".1.crc"):
+        os.remove(os.path.join(cp, "commits", name))
+    incremental.stream_partition_counts(spark, spark.readStream.schema("k string").parquet(src), ["k"], counts, cp).awaitTermination()
+    assert rows(read_runs(spark, counts)) == [("a", 1, 0), ("a", 1, 1), ("b", 1, 0), ("b", 1, 1)]
+
+
+def test_reexports_cut_by_batches(spark, tmp_path):
+    from partledger.sinks.runs import read_runs
+
+    parts, prints = str(tmp_path / "parts"), str(tmp_path / "prints")
+    schema = "k string, v bigint, export int"
+    declared = spark.createDataFrame([("a", 1, 3), ("a", 2, 3), ("a", 3, 3), ("b", 1, 1), ("b", 2, 2)], "k string, export int, rows bigint")
+    frame = lambda *items: spark.createDataFrame(items, schema)
+    handle = incremental.reexport_batch(spark, frame(), ["k"], declared, parts, prints)
+    found = lambda: rows(read_runs(spark, prints), "k", "export", "rows", "changed", "run")
+
+    handle(frame(("a", 1, 1), ("a", 1, 1), ("b", 5, 1)), 0)
+    assert found() == [("b", 1, 1, True, 0)]
+    handle(frame(("a", 2, 1), (None, 9, 1)), 1)
+    handle(frame(("a", 2, 2), ("a", 1, 2), ("b", 5, 2)), 2)
+    # The same batch again changes nothing; two exports of one partition end together.
+    handle(frame(("a", 2, 2), ("a", 1, 2), ("b", 5, 2)), 2)
+    handle(frame(("a", 1, 2), ("a", 7, 3), ("a", 7, 3), ("a", 7, 3)), 3)
+    assert found() == [("a", 1, 3, True, 1), ("a", 2, 3, False, 3), ("a", 3, 3, True, 3), ("b", 1, 1, True, 0)]
+    assert rows(incremental.open_reexports(spark, declared, ["k"], parts)) == [("b", 2, 2, 1)]
+    whole = incremental.fingerprint.content_fingerprint(spark.createDataFrame([("a", 1), ("a", 1), ("a", 2)], "k string, v bigint"), ["k"])
+    assert whole.first()["fingerprint"] == read_runs(spark, prints).filter("k = 'a' and export = 1").first()["fingerprint"]
+
+
 def test_stream_counts(spark, tmp_path):
     src, out, cp = (str(tmp_path / d) for d in ("in", "out", "cp"))
     spark.createDataFrame([("a",), ("a",), ("b",)], "k string").write.parquet(src)
