@@ -149,5 +149,5 @@ def test_toxic_sample_takes_one_row_of_a_repeated_id(spark):
     texts, labels = toxic_corpus()
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    copies = docs.crossJoin(spark.range(40)).select("doc_id", "text").filter("doc_id < 3")
+    copies = docs.filter("doc_id < 3").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(40)))).select("doc_id", "text")
     assert vars(toxicity.learn(docs, table)) == vars(toxicity.learn(docs.unionByName(copies).repartition(6), table))
