@@ -75,6 +75,7 @@ _table_fingerprint("orders", "o_orderstatus", "o_orderkey o_custkey o_orderstatu
 _table_fingerprint("events", "event_type", "event_id ts user_id event_type value props")
 _table_fingerprint("documents", "lang, source", "doc_id text lang source n_chars")
 _table_fingerprint("conversations", "role", "conv_id turn role text")
+_table_fingerprint("embeddings", "label", "vec_id embedding label")
 _table_fingerprint("customer", "c_mktsegment", "c_custkey c_name c_nationkey c_acctbal c_mktsegment")
 
 

@@ -70,14 +70,34 @@ def _portable(name: str, value: Column, dtype: T.DataType) -> tuple[str, Column,
         if dtype.precision <= 15:
             return name, value.cast("double"), T.DoubleType()
         return name, value.cast("string"), T.StringType()
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.FloatType):
+        return name, value.cast("array<double>"), T.ArrayType(T.DoubleType())
     return name, value, dtype
 
 
+_PRINTED_OTHERWISE = (T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _children(dtype: T.DataType) -> list[T.DataType]:
+    if isinstance(dtype, T.StructType):
+        return [f.dataType for f in dtype.fields]
+    if isinstance(dtype, T.ArrayType):
+        return [dtype.elementType]
+    return [dtype.valueType] if isinstance(dtype, T.MapType) else []
+
+
+def _must_walk(dtype: T.DataType) -> bool:
+    """Whether something inside a nested type is printed by ``to_json`` as other engines do not."""
+    return any(isinstance(c, _PRINTED_OTHERWISE) or _must_walk(c) for c in _children(dtype))
+
+
+def _is_plain(size: Column) -> Column:
+    return (size == 0) | ((size >= 1e-3) & (size < 1e7))
+
+
 def _by_field(fields: list[tuple[str, Column, T.DataType]]) -> Column:
     pieces = [
-        F.concat(
-            json_string(F.lit(name)), F.lit(":"), F.coalesce(_scalar(value, dtype), F.lit("null"))
-        )
+        F.concat(json_string(F.lit(name)), F.lit(":"), _json_text(value, dtype, pretty=False))
         for name, value, dtype in fields
     ]
     return F.concat(F.lit("{"), F.concat_ws(",", *pieces), F.lit("}"))
@@ -87,7 +107,8 @@ def row_json(fields: list[tuple[str, Column, T.DataType]]) -> Column:
     """One compact JSON object per row; NULL fields are written, order is kept.
 
     A single ``to_json`` call writes the row unless a double would come out in
-    exponent form; such rows are put together field by field. That branch sits inside a
+    exponent form, alone or in an array; such rows are put together field by field, and so
+    are all rows with numbers, dates or times in other nested types. That branch sits inside a
     one-element ``transform``, which keeps it out of the generated method: a method
     over 8,000 bytecodes would never be compiled by the JVM.
     """
@@ -95,30 +116,44 @@ def row_json(fields: list[tuple[str, Column, T.DataType]]) -> Column:
     whole = F.to_json(
         F.struct(*[_writable(value, dtype).alias(name) for name, value, dtype in fields]), _KEEP_NULLS
     )
-    floating = [v for _, v, t in fields if isinstance(t, T.DoubleType)]
+    rare = F.transform(F.array(F.lit(0)), lambda _: _by_field(fields))[0]
+    floating = []
+    for _, v, t in fields:
+        if isinstance(t, T.DoubleType):
+            floating.append(v.isNull() | _is_plain(F.abs(v)))
+        elif isinstance(t, T.ArrayType) and isinstance(t.elementType, T.DoubleType):
+            floating.append(v.isNull() | F.forall(v, lambda x: x.isNull() | _is_plain(F.abs(x))))
+        elif _must_walk(t):
+            return rare
     if not floating:
         return whole
     plain = F.lit(True)
-    for v in floating:
-        size = F.abs(v)
-        plain = plain & (v.isNull() | (v == 0) | ((size >= 1e-3) & (size < 1e7)))
-    rare = F.transform(F.array(F.lit(0)), lambda _: _by_field(fields))[0]
+    for test in floating:
+        plain = plain & test
     return F.when(F.coalesce(plain, F.lit(False)), whole).otherwise(rare)
 
 
-def pretty_json(value: Column, dtype: T.DataType, level: int = 0) -> Column:
+def pretty_json(value: Column, dtype: T.DataType) -> Column:
     """JSON with two-space indentation and ``"key": value``; NULLs are written."""
-    inner, outer = "\n" + "  " * (level + 1), "\n" + "  " * level
+    return _json_text(value, dtype, pretty=True)
+
+
+def _json_text(value: Column, dtype: T.DataType, pretty: bool, level: int = 0) -> Column:
+    """JSON of any type, indented, or compact and then with portable numbers."""
+    inner, outer = ("\n" + "  " * (level + 1), "\n" + "  " * level) if pretty else ("", "")
+    colon = F.lit(": " if pretty else ":")
+    if not pretty:
+        _, value, dtype = _portable("", value, dtype)
     if isinstance(dtype, T.StructType):
         lines = []
         for f in dtype.fields:
-            text = pretty_json(value[f.name], f.dataType, level + 1)
-            lines.append(F.concat(json_string(F.lit(f.name)), F.lit(": "), text))
+            text = _json_text(value[f.name], f.dataType, pretty, level + 1)
+            lines.append(F.concat(json_string(F.lit(f.name)), colon, text))
         text = F.concat(
             F.lit("{" + inner), F.concat_ws("," + inner, *lines), F.lit(outer + "}")
         )
     elif isinstance(dtype, T.ArrayType):
-        items = F.transform(value, lambda x: pretty_json(x, dtype.elementType, level + 1))
+        items = F.transform(value, lambda x: _json_text(x, dtype.elementType, pretty, level + 1))
         text = F.when(F.size(value) == 0, F.lit("[]")).otherwise(
             F.concat(F.lit("[" + inner), F.array_join(items, "," + inner), F.lit(outer + "]"))
         )
@@ -126,7 +161,7 @@ def pretty_json(value: Column, dtype: T.DataType, level: int = 0) -> Column:
         entries = F.transform(
             F.map_entries(value),
             lambda e: F.concat(
-                json_string(e["key"]), F.lit(": "), pretty_json(e["value"], dtype.valueType, level + 1)
+                json_string(e["key"]), colon, _json_text(e["value"], dtype.valueType, pretty, level + 1)
             ),
         )
         text = F.when(F.size(entries) == 0, F.lit("{}")).otherwise(

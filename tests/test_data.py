@@ -477,6 +477,24 @@ def test_catchup_job(spark):
     assert with_sources(cache.withColumn("bytes", F.lit(7).cast("bigint"))) == ([("AC", "failed", "size-changed")], 0)
 
 
+def test_nested_numbers_are_printed_as_elsewhere(spark, tmp_path):
+    path = str(tmp_path / "nested.parquet")
+    con = duckdb.connect()
+    con.execute(f"""
+      COPY (SELECT * FROM (VALUES
+        (1, {{x: 1e8, d: DATE '2024-01-02', t: TIMESTAMP '2024-01-02 03:04:05.5', s: 'q"', e: 1.50::DECIMAL(10,2), n: NULL::INT}},
+         [1e10, 1e-5, 1e21, 1e22, 0.1, 17.0, 1e-7, 0.0, -0.0, NULL]::DOUBLE[], [0.1, 1e10, NULL]::FLOAT[],
+         MAP{{'k': 1e9::DOUBLE}}, [DATE '2024-01-02'], [{{v: 1e12::DOUBLE}}, NULL], [1, 2]),
+        (2, NULL, [], NULL, NULL, [], [], NULL),
+        (3, NULL, [0.5, 2], [0.25], MAP{{}}, NULL, [{{v: NULL}}], [NULL])
+      ) t(id, s, a, f, m, days, records, whole)) TO '{path}'
+    """)
+    for columns in ("*", "id, a", "id, f, whole", "id, records", "id, m, days", "id, s"):
+        wanted = con.execute(f"SELECT cast(to_json(t) AS varchar) FROM (SELECT {columns} FROM '{path}' ORDER BY id) t").fetchall()
+        df = spark.read.parquet(path).orderBy("id").selectExpr(*columns.split(", "))
+        assert df.select(fingerprint.row_payload(df)).collect() == wanted
+
+
 # --- streaming --------------------------------------------------------------
 
 
