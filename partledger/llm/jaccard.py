@@ -20,8 +20,12 @@ PERCENT = 85
 SHORT_LIST = 64
 #: The most frequent shingles that come last in the order, at most.
 FREQUENT = 100_000
-#: Ids that are broadcast to find their texts, at most (16 bytes each).
+#: Ids that are broadcast to find their texts, at most (three numbers each).
 BROADCAST_ROWS = 500_000
+#: Words of a set's parity map, 64 bits each.
+PARITY_WORDS = 16
+#: Members of one list or group that one task compares with the others.
+LIST_PIECE = 512
 #: Members that are compared with one pivot in one group.
 CHUNK = 64
 #: Classes, and shingles of all of them, in one group of candidates that is compared in one go.
@@ -140,6 +144,111 @@ def list_pairs(postings: DataFrame, crowds: DataFrame, percent: int) -> DataFram
     return both.filter(F.col("k") + crowd >= F.col("least")).select("a", "b")
 
 
+def prefix_groups(prefixes: DataFrame) -> DataFrame:
+    """``gid, cls, n`` of all classes that have their size and whole prefix in common with another.
+
+    ``prefixes`` has ``cls, n, prefix``; a group goes by its smallest class. Prefixes compare by
+    two 64-bit hashes, so that they need not move. Repeated rows make no group.
+    """
+    keyed = prefixes.select("cls", "n", *(F.xxhash64(F.lit(k), "prefix").alias(f"h{k}") for k in (1, 2)))
+    key = ["n", "h1", "h2"]
+    groups = keyed.groupBy(*key).agg(F.min("cls").alias("gid"), F.max("cls").alias("top")).filter("gid <> top")
+    return store(keyed.join(groups.drop("top"), key).select("gid", "cls", "n").distinct(), "jaccard-members")
+
+
+def with_parity(sets: DataFrame) -> DataFrame:
+    """``cls, n, parity``: of each of the map's bits, whether an odd number of shingles falls on it."""
+
+    @F.arrow_udf("array<long>")
+    def parity(blobs: pa.Array) -> pa.Array:
+        bits = 64 * PARITY_WORDS
+        out = []
+        for blob in blobs:
+            place = (np.frombuffer(blob.as_buffer(), np.uint64) % np.uint64(bits)).astype(np.int64)
+            odd = (np.bincount(place, minlength=bits) & 1).astype(np.uint8)
+            out.append(np.packbits(odd, bitorder="little").view(np.int64))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    made = sets.select("cls", (F.octet_length("shingles") / 8).cast("long").alias("n"), parity("shingles").alias("words"))
+    words = F.struct(*(F.get("words", F.lit(k)).alias(f"w{k}") for k in range(PARITY_WORDS)))
+    return made.select("cls", "n", words.alias("parity"))
+
+
+def parity_fits(percent: int) -> Column:
+    """Whether the maps of ``a`` and ``b`` differ in no more bits than similar sets have shingles of one's own.
+
+    Each bit that differs takes a shingle that only one of the two sets has, so no similar pair
+    fails.
+    """
+    differ = sum((F.bit_count(F.col(f"ap.w{k}").bitwiseXOR(F.col(f"bp.w{k}"))) for k in range(1, PARITY_WORDS)),
+                 F.bit_count(F.col("ap.w0").bitwiseXOR(F.col("bp.w0"))))
+    total = F.col("an") + F.col("bn")
+    return differ <= total - 2 * F.ceil(total * percent / (100 + percent))
+
+
+def remaining_pairs(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a, b`` on common lists that may be similar and are not connected.
+
+    ``postings`` has ``shingle, cls, n, place, c`` (``c``: no list is longer), ``classes`` has
+    ``cls, component, parity``. The conditions are part of the join, and long lists are cut into
+    pieces, so that the pairs of a list are neither written nor all made in one task.
+    """
+    named = postings.join(classes, "cls").withColumn("cuts", F.ceil(F.col("c") / LIST_PIECE).cast("int"))
+    small = named.filter(F.col("place") < index_length(F.col("n"), percent)).select(
+        "shingle", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), F.col("cls").alias("a"),
+        F.col("n").alias("an"), F.col("component").alias("ac"), F.col("parity").alias("ap"),
+    )
+    large = named.select(
+        "shingle", F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int").alias("cut"), F.col("cls").alias("b"),
+        F.col("n").alias("bn"), F.col("component").alias("bc"), F.col("parity").alias("bp"),
+    )
+    before = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
+    fits = before & (F.col("ac") != F.col("bc")) & (100 * F.col("an") >= percent * F.col("bn")) & parity_fits(percent)
+    return small.join(large, ["shingle", "cut"]).filter(fits).select("a", "b").distinct()
+
+
+def expand_groups(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of classes that may be similar and are not connected: one of either
+    group of a pair, and both of one group.
+
+    ``pairs`` has ``a, b``, the heads of groups; ``classes`` has ``cls, gid, n, component,
+    parity``, with no ``gid`` for a class that is alone. Pairs whose classes are all in one
+    component need no expanding. Large groups are cut into pieces like long lists.
+    """
+    owned = classes.withColumn("gid", F.coalesce("gid", "cls"))
+    groups = store(
+        owned.groupBy("gid").agg(
+            F.min("component").alias("lo"),
+            F.max("component").alias("hi"),
+            F.ceil(F.count(F.lit(1)) / LIST_PIECE).cast("int").alias("cuts"),
+        ),
+        "jaccard-groups",
+    )
+    one, two = (groups.select(F.col("gid").alias(f"g{x}"), *(F.col(c).alias(f"{x}_{c}") for c in ("lo", "hi", "cuts"))) for x in "ab")
+    loose = groups.filter("lo <> hi").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
+    open_pairs = store(
+        pairs.select(F.col("a").alias("ga"), F.col("b").alias("gb"))
+        .unionByName(loose)
+        .join(one, "ga")
+        .join(two, "gb")
+        .filter(F.least("a_lo", "b_lo") != F.greatest("a_hi", "b_hi"))
+        .select("ga", "gb", F.explode(F.sequence(F.lit(0), F.col("b_cuts") - 1)).alias("cut")),
+        "jaccard-open",
+    )
+    small, large = (
+        owned.select(
+            F.col("gid").alias(f"g{x}"), F.col("cls").alias(x), F.col("n").alias(f"{x}n"),
+            F.col("component").alias(f"{x}c"), F.col("parity").alias(f"{x}p"),
+        )
+        for x in "ab"
+    )
+    cut = F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("cut")
+    large = large.join(groups.select(F.col("gid").alias("gb"), "cuts"), "gb").select("*", cut).drop("cuts")
+    once = (F.col("ga") != F.col("gb")) | (F.col("a") < F.col("b"))
+    fits = once & (F.col("ac") != F.col("bc")) & parity_fits(percent)
+    return open_pairs.join(small, "ga").join(large, ["gb", "cut"]).filter(fits).select("a", "b").distinct()
+
+
 def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     columns = [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)]
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
@@ -220,8 +329,7 @@ def verify_groups(
         .groupBy("component", F.col("b").alias("cls"))
         .agg(F.collect_list("a").alias("partners"))
     )
-    near = members.join(fits, "component", "left_semi").select("component", "cls", "doc_id")
-    wanted = near.join(partners, ["component", "cls"], "left")
+    wanted = members.join(fits, "component", "left_semi").select("component", "cls", "doc_id")
     sets = sets_of(docs, wanted, id_col, text_col, width)
 
     def links_of(group: dict[int, np.ndarray], tasks: list[tuple[int, list[int]]]) -> Iterator[tuple[int, int]]:
@@ -241,13 +349,15 @@ def verify_groups(
                 if component != current:
                     out.extend(links_of(group, tasks))
                     current, group, tasks = component, {}, []
-                group[cls] = np.frombuffer(blob.as_buffer(), np.uint64)
                 if others is not None:
                     tasks.append((cls, others))
+                else:
+                    group[cls] = np.frombuffer(blob.as_buffer(), np.uint64)
             yield _pair_batch(out)
         yield _pair_batch(list(links_of(group, tasks)))
 
-    rows = sets.select("component", "cls", "partners", "shingles").repartition("component").sortWithinPartitions("component")
+    rows = sets.select("component", "cls", "shingles").unionByName(partners, allowMissingColumns=True)
+    rows = rows.repartition("component").sortWithinPartitions("component")
     links = store(rows.mapInArrow(compared, "a long, b long"), "jaccard-links")
     return links, grouped.join(fits, "component", "left_anti").select("a", "b")
 
@@ -297,13 +407,17 @@ def similar_documents(
     """``doc_id, n_shingles, component_id`` of every row.
 
     1. Texts with equal shingle sets form one class; only classes are compared.
-    2. A class lists its prefix: its first shingles in one order that holds for all, the most
-       frequent last. Sets that are similar enough share a prefix shingle.
-    3. Short lists give pairs at once. Classes on longer lists are a small share, of texts
-       with many near copies; their sets are ordered anew, rarest first.
-    4. On these lists, all members are compared with the one that has most shingles in common
-       with many others. What that connects needs no more comparing; pairs between different
-       components are compared each. No pair is left out, and copies are not expanded.
+    2. A class has a prefix: its first shingles in one order that holds for all, the most
+       frequent last. Sets that are similar enough share a prefix shingle. Classes of one size
+       and one prefix form a group, which lists that prefix once, under its head.
+    3. Short lists give pairs of groups at once; their heads are compared, and each head with
+       its members. Groups on longer lists are a small share, of texts with many near copies;
+       the sets of their heads are ordered anew, rarest first.
+    4. On these lists, all heads are compared with the one that has most shingles in common
+       with many others. What that connects needs no more comparing.
+    5. Pairs of groups that may still hold a link between components are expanded to their
+       members. Maps of parities, whose bits differ no more often than the sets do, tell most
+       of these pairs apart inside the join; all others are verified. No pair is left out.
 
     Sets compare by 64-bit hashes of shingles, and classes by one of their set.
 
@@ -406,36 +520,54 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
         prefixes = led.filter("prefix is not null").select("cls", "n", "prefix").unionByName(
             store(whole.select("cls", "n", leading_of_all("shingles", p).alias("prefix")), "jaccard-prefixes")
         )
-    every = prefixes.select("cls", "n", F.posexplode("prefix").alias("place", "shingle"))
+    members = prefix_groups(prefixes)
+    heads = prefixes.join(members.filter("cls <> gid").select("cls"), "cls", "left_anti")
+    every = heads.select("cls", "n", F.posexplode("prefix").alias("place", "shingle"))
     lengths = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     # Most shingles are one class's only; what is left is small.
     postings = store(every.join(lengths, "shingle"), "jaccard-postings")
     crowds = postings.filter(F.col("members") > short_list).groupBy("cls").agg(F.count(F.lit(1)).alias("crowd"))
     pairs = store(list_pairs(postings.filter(F.col("members") <= short_list), crowds, percent), "jaccard-pairs")
+    # Their order is another one, in which members of a group differ: all of them are listed.
+    on_crowded = postings.filter(F.col("members") > short_list).select("cls").distinct()
     crowded = store(
-        postings.filter(F.col("members") > short_list).select("cls").distinct().join(classes.select("cls", "doc_id", "n"), "cls"),
+        on_crowded.unionByName(members.join(on_crowded, F.col("gid") == on_crowded["cls"], "left_semi").select("cls"))
+        .distinct()
+        .join(classes.select("cls", "doc_id", "n"), "cls"),
         "jaccard-crowded",
     )
-    links, more = verify_groups(docs, pairs, classes, id_col, text_col, width, percent)
+    # A group is held together by its head at first: every member is compared with it.
+    spokes = members.filter("cls <> gid").select(F.col("gid").alias("a"), F.col("cls").alias("b"))
+    links, more = verify_groups(docs, pairs.unionByName(spokes), classes, id_col, text_col, width, percent)
     more = store(more, "jaccard-more")
+    # Pairs of groups of which one has several classes; only their heads are compared so far.
+    several = members.select("gid").distinct()
+    heads_only = store(
+        pairs.join(several.select(F.col("gid").alias("a"), F.lit(1).alias("in_a")), "a", "left")
+        .join(several.select(F.col("gid").alias("b"), F.lit(1).alias("in_b")), "b", "left")
+        .filter("in_a = 1 or in_b = 1")
+        .select("a", "b"),
+        "jaccard-heads",
+    )
     wanted = (
         more.select(F.explode(F.array("a", "b")).alias("cls"))
+        .unionByName(heads_only.select(F.explode(F.array("a", "b")).alias("cls")))
+        .unionByName(members.select("cls"))
+        .unionByName(crowded.select("cls"))
         .distinct()
         .join(classes.select("cls", "doc_id"), "cls")
-        .unionByName(crowded.select("cls", "doc_id"))
-        .distinct()
     )
     wanted = store(wanted, "jaccard-wanted")
     if wanted.isEmpty():
         return links
     sets = store(sets_of(docs, wanted, id_col, text_col, width), "jaccard-sets")
+    if sets.count() > wanted.count():  # repeated rows
+        sets = store(sets.dropDuplicates(["cls"]), "jaccard-sets")
     links = links.unionByName(store(verify(more, sets, percent), "jaccard-links"))
-    if crowded.isEmpty():
+    if crowded.isEmpty() and members.isEmpty():
         return links
-
+    maps = store(with_parity(sets), "jaccard-maps")
     crowded_sets = sets.join(crowded.select("cls", "n"), "cls")
-    if crowded_sets.count() > crowded.count():  # repeated rows
-        crowded_sets = crowded_sets.dropDuplicates(["cls"])
 
     @F.arrow_udf("array<long>")
     def as_longs(blobs: pa.Array) -> pa.Array:
@@ -453,7 +585,7 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
         .withColumn("weight", F.sum("c").over(mine))
         .withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
         .filter(F.col("place") < prefix_length(F.col("n"), percent))
-        .select("shingle", "cls", "n", "place", (F.col("weight") / F.col("n")).alias("centre"))
+        .select("shingle", "cls", "n", "place", "c", (F.col("weight") / F.col("n")).alias("centre"))
     )
     fresh = store(fresh, "jaccard-fresh")
     labels = components(links)
@@ -492,22 +624,12 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
             break
         links = links.unionByName(found)
         labels = components(links)
-    left = remaining_pairs(fresh, labels, percent)
-    return links.unionByName(store(verify(left, sets, percent), "jaccard-links"))
-
-
-def remaining_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs on common lists between different components, of fitting size."""
-    named = postings.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    small = named.filter(F.col("place") < index_length(F.col("n"), percent)).select(
-        "shingle", F.col("cls").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac")
-    )
-    large = named.select("shingle", F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-    before = (F.col("an") < F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("a") < F.col("b")))
-    apart = F.col("ac") != F.col("bc")
-    return (
-        small.join(large, "shingle").filter(before & apart & (100 * F.col("an") >= percent * F.col("bn"))).select("a", "b").distinct()
+    named = store(
+        maps.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls")), "jaccard-named"
     )
+    left = remaining_pairs(fresh, named.select("cls", "component", "parity"), percent)
+    expanded = expand_groups(heads_only, named.join(members.select("gid", "cls"), "cls", "left"), percent)
+    return links.unionByName(store(verify(left.unionByName(expanded).distinct(), sets, percent), "jaccard-links"))
 
 
 def keep_one(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from partledger.llm import jaccard, sharding
+from test_operators import brute_components
 
 DOCS = "doc_id long, text string"
 WORDS = "the of and river stone house green light under winter harbour letter window garden paper silver".split()
@@ -61,3 +63,59 @@ def test_a_map_serves_records_that_come_later(spark, tmp_path):
     second = sharding.next_map(spark, sharding.slot_loads(docs), 7, str(tmp_path), 2, first)
     moved = first.join(second.withColumnRenamed("shard", "now"), "virtual_slot").filter("shard <> now").count()
     assert second.count() == sharding.SLOTS and moved < 200
+
+
+# --- groups of one size and prefix in the n-gram Jaccard join
+
+
+def crowd_of_short_texts():
+    """Texts of few shingles from few words: many sets have their size and short prefix in common."""
+    rows, x = [], 5
+    for k in range(500):
+        words = []
+        x = (x * 1103515245 + 12345) % 2**31
+        for _ in range(5 + (x >> 16) % 8):
+            x = (x * 1103515245 + 12345) % 2**31
+            words.append("abc"[(x >> 16) % 3])
+        rows.append((k, " ".join(words)))
+    return rows + [(500, None), (None, rows[7][1]), (3, rows[3][1])]
+
+
+@pytest.mark.parametrize("percent, short_list, piece", [(50, 4, 3), (70, 1000, 2), (85, 1000, 512)])
+def test_groups_equal_brute_force(spark, monkeypatch, percent, short_list, piece):
+    rows = crowd_of_short_texts()
+    monkeypatch.setattr(jaccard, "LIST_PIECE", piece)
+    groups, original = [], jaccard.prefix_groups
+
+    def seen(prefixes):
+        groups.append(original(prefixes))
+        return groups[0]
+
+    monkeypatch.setattr(jaccard, "prefix_groups", seen)
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [tuple(r) for r in jaccard.similar_documents(docs, percent=percent, short_list=short_list).collect()]
+    expected = brute_components([(*r, None, None, None) for r in rows], percent)
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+    # Groups there are, and some whose members are not all alike.
+    assert groups[0].count() > groups[0].select("gid").distinct().count() > 0
+
+
+def test_parity_maps_keep_similar_pairs(spark):
+    """The share of differing bits never exceeds the sets' difference, and tells most others apart."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([base[k:], rng.integers(0, 2**63, k, dtype=np.uint64)])) for k in range(0, 150, 3)]
+    table = spark.createDataFrame([(k, v.tobytes()) for k, v in enumerate(sets)], "cls long, shingles binary")
+    maps = jaccard.with_parity(table)
+    left = maps.select(F.col("cls").alias("a"), F.col("n").alias("an"), F.col("parity").alias("ap"), F.lit(1).alias("k"))
+    right = maps.select(F.col("cls").alias("b"), F.col("n").alias("bn"), F.col("parity").alias("bp"), F.lit(1).alias("k"))
+    passed = {(r["a"], r["b"]) for r in left.join(right, "k").filter("a < b").filter(jaccard.parity_fits(85)).collect()}
+    alike = {
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a + 1, len(sets))
+        if 100 * len(np.intersect1d(sets[a], sets[b])) >= 85 * len(np.union1d(sets[a], sets[b]))
+    }
+    assert alike <= passed and len(passed) < len(sets) * (len(sets) - 1) / 4
