@@ -71,22 +71,31 @@ def pending_summary(pending: DataFrame, detected_at: Column) -> DataFrame:
     )
 
 
-def write_documents(documents: DataFrame, root: str, dataset: str) -> None:
-    """Provenance documents, one text file per partition below ``<dataset>/provenance/``.
+def checked_documents(documents: DataFrame, dataset: str) -> DataFrame:
+    """``ano, uf, mes, value`` to write; a key outside the data set's provenance stops the job.
 
-    ``documents`` has ``KEY, text``. Every key is checked before anything is written.
+    The check is part of the value, not a filter: a filter on keys would be pushed below the
+    step that made them distinct, and run once for each row of the data instead of each document.
     """
     key = names.provenance_key(F.lit(dataset), F.col("ano"), F.col("uf"), F.col("mes"))
-    checked = documents.filter(names.require_provenance_upload_key(key, dataset).isNotNull())
     # The text sink ends each record with a newline of its own.
-    out = checked.select(
+    text = F.regexp_replace("text", r"\n\z", "")
+    return documents.select(
         "ano",
         "uf",
         names.two_digits(F.col("mes")).alias("mes"),
-        F.regexp_replace("text", r"\n\z", "").alias("value"),
+        F.when(names.require_provenance_upload_key(key, dataset).isNotNull(), text).alias("value"),
     )
+
+
+def write_documents(documents: DataFrame, root: str, dataset: str) -> None:
+    """Provenance documents, one text file per partition below ``<dataset>/provenance/``.
+
+    ``documents`` has ``KEY, text``. Every key is checked before anything is written.
+    """
     (
-        out.hint("rebalance", "ano", "uf", "mes")
+        checked_documents(documents, dataset)
+        .hint("rebalance", "ano", "uf", "mes")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ano", "uf", "mes")

@@ -176,3 +176,14 @@ def test_documents_are_dropped_by_checked_keys(spark, tmp_path):
     assert [r["uf"] for r in documents.scan_provenance(spark, str(tmp_path), "sia-pa").collect()] == ["AC"]
     with pytest.raises(PySparkException):
         publish.drop_documents(spark.createDataFrame([("../AC", 2024, 1)], "uf string, ano int, mes int"), str(tmp_path), "sia-pa")
+
+
+def test_document_keys_are_checked_once_a_document(spark):
+    keys = data(spark).select(*KEY).distinct().withColumn("text", F.lit("{}\n"))
+    checked = control.checked_documents(keys, "sia-pa")
+    optimized = checked._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    below = optimized[next(i for i, line in enumerate(optimized) if "Aggregate" in line) + 1 :]
+    assert not any("upload refused" in line for line in below)
+    assert checked.count() == keys.count()
+    with pytest.raises(PySparkException, match="upload refused"):
+        control.checked_documents(keys.withColumn("uf", F.lit("x/")), "sia-pa").collect()
