@@ -152,7 +152,7 @@ DIFF = {"diff": _DIFF}
 
 
 def _diff(t: Inputs):
-    return fingerprint.revision_diff(t.published_lines, t.lines, COLUMNS)
+    return fingerprint.revision_diff(t.published_lines, t.lines, COLUMNS, KEY)
 
 
 @register(

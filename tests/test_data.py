@@ -128,6 +128,19 @@ def test_revision_diff(spark):
     assert rows(fingerprint.new_entities(old, new, ["k"])) == [("d",)]
 
 
+def test_revision_diff_moves_rows_of_differing_groups_only(spark):
+    ddl = "k string, v double, g int"
+    # Group 1 is equal but for its order, 2 has other copies, 3 swaps pairs that an xor would lose, a row moves from 4 to 5.
+    same = [("a", 1.0, 1), ("a", 1.0, 1), ("b", None, 1), (None, 0.0, 1)]
+    old = [*same, ("c", 1.0, 2), ("d", 1.0, 3), ("d", 1.0, 3), ("m", 2.0, 4), ("n", 1.0, None)]
+    new = [*same[::-1], ("c", 1.0, 2), ("c", 1.0, 2), ("e", 1.0, 3), ("e", 1.0, 3), ("m", 2.0, 5), ("o", 1.0, None)]
+    old, new = spark.createDataFrame(old, ddl), spark.createDataFrame(new, ddl)
+    assert rows(fingerprint.differing_groups(old, new, ["k", "v"], ["g"])) == [(2,), (3,), (4,), (5,), (None,)]
+    diff = fingerprint.revision_diff(old, new, ["k", "v"], ["g"])
+    assert rows(diff) == rows(fingerprint.revision_diff(old, new, ["k", "v"]))
+    assert rows(diff) == [("c", 1.0, "added", 1), ("d", 1.0, "removed", 2), ("e", 1.0, "added", 2), ("n", 1.0, "removed", 1), ("o", 1.0, "added", 1)]
+
+
 # --- writers and readers ----------------------------------------------------
 
 
