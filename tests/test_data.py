@@ -583,6 +583,19 @@ def test_a_batch_is_replayed_after_its_commit_is_lost(spark, tmp_path):
     assert rows(read_runs(spark, counts)) == [("a", 1, 0), ("a", 1, 1), ("b", 1, 0), ("b", 1, 1)]
 
 
+def test_halves_move_no_rows(spark):
+    from checks.analytics_queries import halves
+    from checks.derive import read_parquet
+
+    lines = read_parquet(spark, f"{TABLES}/lineitem.parquet")
+    parts = halves(lines)
+    assert all("Exchange" not in p._jdf.queryExecution().executedPlan().toString() for p in parts)
+    assert rows(parts[0].unionByName(parts[1])) == rows(lines)
+    # Both halves have rows of nearly every month, so a batch never has a whole partition.
+    months = [p.groupBy(F.trunc("l_shipdate", "month")).count().count() for p in parts]
+    assert min(months) > 70
+
+
 def test_reexports_cut_by_batches(spark, tmp_path):
     from partledger.sinks.runs import read_runs
 
