@@ -195,6 +195,23 @@ def test_hot_partition_is_split(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
+def test_partitions_that_fit_are_not_cut_for_their_neighbours(spark, tmp_path):
+    """Forty partitions of 60 to 70 kB, of which any two are beyond the advisory size together."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        even = spark.range(0, 160000, 1, 8).select(
+            F.lit("202401").alias("PA_CMP"), F.md5(F.col("id").cast("string")).substr(1, 8).alias("PA_CODUNI"),
+            F.when(F.col("id") % 40 < 39, F.lit("SP")).alias("uf"), (2000 + F.col("id") % 40).cast("int").alias("ano"), F.lit(1).alias("mes"),
+        )
+        root = str(tmp_path / "even")
+        sink.write_partitions(even, root)
+        found = spark.read.parquet(root).select("ano", F.col("_metadata.file_path").alias("file"))
+        counts = found.groupBy("ano").agg(F.count_distinct("file").alias("files"), F.count(F.lit(1)).alias("n")).collect()
+        assert {(r["files"], r["n"]) for r in counts} == {(1, 4000)} and len(counts) == 40
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_row_groups(spark, tmp_path):
     import glob
 
