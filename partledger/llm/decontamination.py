@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -246,19 +247,35 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = ITEM_BLOCK_BYTES) -> It
     yield block
 
 
+#: A word as `BY_LETTER` has it, in the characters of a text.
+LETTERS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the given word spans, and the blanks around a cut as one."""
+    places = [m.span() for m in LETTERS.finditer(text)]
+    kept, at = [], 0
+    for start, end in spans:
+        kept.append(text[at : places[start][0]])
+        at = places[end - 1][1]
+    return "".join([*kept, text[at:]]).strip()
+
+
 FOUND = "n_words long, spans array<struct<from: int, to: int>>, items array<string>"
+REST = ", rest string"
 
 
-def _found_udf(phrases):
+def _found_udf(phrases, with_rest: bool = False):
     kind = pa.struct(
         [
             ("n_words", pa.int64()),
             ("spans", pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))),
             ("items", pa.list_(pa.string())),
+            *[("rest", pa.string())] * with_rest,
         ]
     )
 
-    @F.arrow_udf(FOUND)
+    @F.arrow_udf(FOUND + REST * with_rest)
     def found(texts: pa.Array, before: pa.Array) -> pa.Array:
         out = []
         earlier = before.to_pylist()
@@ -271,7 +288,10 @@ def _found_udf(phrases):
                     both = [(s["from"], s["to"]) for s in old["spans"]] + spans
                     spans = merge_spans(np.array([s for s, _ in both]), np.array([e for _, e in both]))
                     items = sorted({*old["items"], *items})
-                out.append({"n_words": int(n), "spans": [{"from": s, "to": e} for s, e in spans], "items": items})
+                own = {"n_words": int(n), "spans": [{"from": s, "to": e} for s, e in spans], "items": items}
+                if with_rest and spans:
+                    own["rest"] = cut_out(texts[len(out)].as_py(), spans)
+                out.append(own)
         return pa.array(out, kind)
 
     return found
@@ -289,49 +309,35 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     phrase; an item given twice counts once. Repeated rows are searched each on its own. A
     column named ``found`` is replaced, others kept. Empty tables give no rows or no hits.
     """
+    return _search(docs, [test_phrases(block, window) for block in item_blocks(benchmark, block_bytes)])
+
+
+def _search(docs: DataFrame, tables: list, with_rest: bool = False) -> DataFrame:
+    """``docs`` with ``found``; ``with_rest`` the last pass also cuts the spans of all passes out of the text."""
     kept = [c for c in docs.columns if c != "found"]
-    result = docs.select(*kept, F.lit(None).cast(f"struct<{FOUND.replace(' long', ': long').replace('spans ', 'spans: ').replace('items ', 'items: ')}>").alias("found"))
-    for block in item_blocks(benchmark, block_bytes):
-        udf = _found_udf(test_phrases(block, window))
+    none = F.lit(None).cast(f"struct<{FOUND.replace(' long', ': long').replace('spans ', 'spans: ').replace('items ', 'items: ')}>")
+    result = docs.select(*kept, none.alias("found"))
+    for phrases in tables:
+        udf = _found_udf(phrases, with_rest and phrases is tables[-1])
+        if with_rest:
+            # Else the planner would search once more, in a worker of its own, for each filter on the result.
+            udf = udf.asNondeterministic()
         result = result.select(*kept, udf("text", "found").alias("found"))
     return result
 
 
-def cut_udf():
-    """Column function: the text without the given word spans, and the blanks around a cut as one."""
-    import re
-
-    word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-
-    @F.arrow_udf("string")
-    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-        out = []
-        for text, gaps in zip(texts.to_pylist(), spans.to_pylist()):
-            if not text or not gaps:
-                out.append(text)
-                continue
-            places = [m.span() for m in word.finditer(text)]
-            kept, at = [], 0
-            for g in gaps:
-                kept.append(text[at : places[g["from"]][0]])
-                at = places[g["to"] - 1][1]
-            kept.append(text[at:])
-            out.append("".join(kept).strip())
-        return pa.array(out, pa.string())
-
-    return cut
-
-
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = ITEM_BLOCK_BYTES
+) -> DataFrame:
     """``docs`` with the removal spans cut out of ``text`` and ``n_chars``, if there, set anew.
 
     Documents of which no word is left are dropped; documents without a hit stay as they are.
     """
-    found = find_contamination(docs, benchmark, window)
+    found = _search(docs, [test_phrases(block, window) for block in item_blocks(benchmark, block_bytes)], with_rest=True)
     n_cut = F.aggregate("found.spans", F.lit(0), lambda a, s: a + s["to"] - s["from"])
     hit = F.size("found.spans") > 0
     left = found.filter(~hit | (n_cut < F.col("found.n_words")))
-    text = F.when(hit, cut_udf()("text", "found.spans")).otherwise(F.col("text"))
+    text = F.when(hit, F.col("found.rest")).otherwise(F.col("text"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
     result = left.select(*columns, hit.alias("_hit"))
     if "n_chars" in docs.columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,15 +81,21 @@ def _set_hash(values: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+def sets_of(
+    docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int,
+    prefix_of: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> DataFrame:
     """``cls, shingles`` (8 bytes each) of the classes in ``wanted`` (``doc_id, cls`` and columns to keep).
 
-    A repeated row of ``docs`` gives a class twice.
+    With ``prefix_of``, ``cls, prefix``: what it takes from a set in the worker that made the set,
+    for a second function would need a worker of its own. A repeated row of ``docs`` gives a
+    class twice.
     """
+    name, sql_kind, kind = ("prefix", "array<long>", pa.list_(pa.int64())) if prefix_of else ("shingles", "binary", pa.binary())
 
-    @F.arrow_udf("cls long, shingles binary")
+    @F.arrow_udf(f"cls long, {name} {sql_kind}")
     def full(texts: pa.Array) -> pa.Array:
-        cls_all, blobs = [], []
+        cls_all, made = [], []
         for piece in pieces(texts):
             values, counts = shingle_sets(piece, width)
             end = 0
@@ -97,8 +103,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, widt
                 own = values[end : end + n]
                 end += n
                 cls_all.append(_set_hash(own))
-                blobs.append(own.tobytes())
-        return pa.StructArray.from_arrays([pa.array(cls_all, pa.int64()), pa.array(blobs, pa.binary())], ["cls", "shingles"])
+                made.append(prefix_of(own.view(np.int64)) if prefix_of else own.tobytes())
+        return pa.StructArray.from_arrays([pa.array(cls_all, pa.int64()), pa.array(made, kind)], ["cls", name])
 
     extra = [c for c in wanted.columns if c not in ("doc_id", "cls")]
     picked = store(
@@ -501,14 +507,9 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
             out.append(first)
         return pa.array(out, pa.list_(pa.int64()))
 
-    @F.arrow_udf("array<long>")
-    def leading_of_all(blobs: pa.Array, lengths: pa.Array) -> pa.Array:
-        out = []
-        for b, p in zip(blobs, lengths.to_numpy()):
-            v = np.frombuffer(b.as_buffer(), np.uint64).view(np.int64)
-            late = are_last(v)
-            out.append(np.concatenate([v[~late], v[late]])[:p])
-        return pa.array(out, pa.list_(pa.int64()))
+    def leading_of_all(own: np.ndarray) -> np.ndarray:
+        late = are_last(own)
+        return np.concatenate([own[~late], own[late]])[: len(own) - -(-len(own) * percent // 100) + 1]
 
     p = prefix_length(F.col("n"), percent).cast("long")
     led = store(regions.select("cls", "doc_id", "n", leading("region", p, "n").alias("prefix")), "jaccard-prefixes")
@@ -516,9 +517,9 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
     if rest.isEmpty():
         prefixes = led.select("cls", "n", "prefix")
     else:
-        whole = sets_of(docs, rest, id_col, text_col, width)
+        whole = sets_of(docs, rest, id_col, text_col, width, leading_of_all)
         prefixes = led.filter("prefix is not null").select("cls", "n", "prefix").unionByName(
-            store(whole.select("cls", "n", leading_of_all("shingles", p).alias("prefix")), "jaccard-prefixes")
+            store(whole.select("cls", "n", "prefix"), "jaccard-prefixes")
         )
     members = prefix_groups(prefixes)
     heads = prefixes.join(members.filter("cls <> gid").select("cls"), "cls", "left_anti")
