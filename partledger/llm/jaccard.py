@@ -480,6 +480,76 @@ def _similar_documents(
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """``shingle, c``: the shingles of more than one set, and of how many. Those of a batch are summed where it lies."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(b.as_buffer(), np.int64) for b in batch["shingles"]]
+            if own:
+                shingle, c = np.unique(np.concatenate(own), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(c.astype(np.int64))], ["shingle", "c"])
+
+    found = sets.select("shingles").mapInArrow(summed, "shingle long, c long")
+    return store(found.groupBy("shingle").agg(F.sum("c").alias("c")).filter("c > 1"), "jaccard-common")
+
+
+def rarest_candidates(sets: DataFrame, common: DataFrame, percent: int) -> DataFrame:
+    """``cls, n, others, listed, weight, at, shingle``: what of each set can be in its prefix, if the order is by ``c, shingle``.
+
+    The ``FREQUENT`` last shingles in that order are known to every task, so of these a set gives
+    no more than its prefix has room for, and ``weight`` sums up all it has. The ``others`` come
+    before them; unless all are of one set alone, they are listed, as the first ``listed`` rows.
+    """
+    tail = common.orderBy(F.col("c").desc(), F.col("shingle").desc()).limit(FREQUENT).collect()
+    complete = len(tail) < FREQUENT
+    ordered = np.array([r["shingle"] for r in reversed(tail)], np.int64)
+    counts = np.array([r["c"] for r in reversed(tail)], np.int64)
+    rank = np.argsort(ordered)
+    last = ordered[rank]
+
+    @F.arrow_udf("others long, listed long, weight long, shingles array<long>")
+    def candidates(blobs: pa.Array, lengths: pa.Array) -> pa.Array:
+        others, listed, weight, made = [], [], [], []
+        for blob, p in zip(blobs, lengths.to_numpy()):
+            own = np.frombuffer(blob.as_buffer(), np.int64)
+            at = np.searchsorted(last, own)
+            at[at == len(last)] = 0
+            is_last = last[at] == own if len(last) else np.zeros(len(own), bool)
+            first, late = own[~is_last], np.sort(rank[at[is_last]])
+            others.append(len(first))
+            listed.append(0 if complete else len(first))
+            weight.append(int(counts[late].sum()))
+            made.append(np.concatenate([first[: listed[-1]], ordered[late[: max(0, p - len(first))]]]))
+        longs = [pa.array(c, pa.int64()) for c in (others, listed, weight)]
+        return pa.StructArray.from_arrays([*longs, pa.array(made, pa.list_(pa.int64()))], ["others", "listed", "weight", "shingles"])
+
+    p = prefix_length(F.col("n"), percent).cast("long")
+    found = sets.select("cls", "n", candidates.asNondeterministic()("shingles", p).alias("t"))
+    return found.select("cls", "n", "t.others", "t.listed", "t.weight", F.posexplode("t.shingles").alias("at", "shingle"))
+
+
+def rarest_first(sets: DataFrame, percent: int) -> DataFrame:
+    """``shingle, cls, n, place, c, centre`` of the prefixes of ``sets`` (``cls, n, shingles``), the rarest shingles first.
+
+    Shingles of one set alone come before all others and are left out; ``c`` is of how many sets
+    a shingle is, ``centre`` a set's sum of it over its size.
+    """
+    common = shared_shingles(sets)
+    mine = Window.partitionBy("cls")
+    is_other = F.col("at") < F.col("listed")
+    return (
+        rarest_candidates(sets, common, percent)
+        .join(common, "shingle")
+        .withColumn("rank", F.row_number().over(mine.orderBy("c", "shingle")))
+        .withColumn("alone", F.col("others") - F.count(F.when(is_other, 1)).over(mine))
+        .withColumn("weight", F.col("weight") + F.sum(F.when(is_other, F.col("c")).otherwise(0)).over(mine))
+        .withColumn("place", F.col("alone") + F.col("rank") - 1)
+        .filter(F.col("place") < prefix_length(F.col("n"), percent))
+        .select("shingle", "cls", "n", "place", "c", (F.col("weight") / F.col("n")).alias("centre"))
+    )
+
+
 def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col: str, text_col: str, width: int, percent: int, short_list: int) -> DataFrame:
     """Links ``a, b`` between classes that connect the same classes as all links do."""
     # 32 bits are enough to say which shingles come last: any such choice keeps the join exact.
@@ -568,27 +638,8 @@ def class_links(docs: DataFrame, classes: DataFrame, regions: DataFrame, id_col:
     if crowded.isEmpty() and members.isEmpty():
         return links
     maps = store(with_parity(sets), "jaccard-maps")
-    crowded_sets = sets.join(crowded.select("cls", "n"), "cls")
-
-    @F.arrow_udf("array<long>")
-    def as_longs(blobs: pa.Array) -> pa.Array:
-        return pa.array([np.frombuffer(b.as_buffer(), np.uint64).view(np.int64) for b in blobs], pa.list_(pa.int64()))
-
     # Their shingles meet once more, to be counted; then each class takes its rarest ones.
-    tokens = crowded_sets.select("cls", "n", F.explode(as_longs("shingles")).alias("shingle"))
-    common = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    # Shingles of one class alone come first; how many there are is what is missing from n.
-    mine = Window.partitionBy("cls")
-    fresh = (
-        tokens.join(common, "shingle")
-        .withColumn("rank", F.row_number().over(mine.orderBy("c", "shingle")))
-        .withColumn("shared", F.count(F.lit(1)).over(mine))
-        .withColumn("weight", F.sum("c").over(mine))
-        .withColumn("place", F.col("n") - F.col("shared") + F.col("rank") - 1)
-        .filter(F.col("place") < prefix_length(F.col("n"), percent))
-        .select("shingle", "cls", "n", "place", "c", (F.col("weight") / F.col("n")).alias("centre"))
-    )
-    fresh = store(fresh, "jaccard-fresh")
+    fresh = store(rarest_first(sets.join(crowded.select("cls", "n"), "cls"), percent), "jaccard-fresh")
     labels = components(links)
     done = None
     for _ in range(3):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
 import pytest
 
 from partledger.llm import decontamination, jaccard
@@ -57,3 +60,36 @@ def test_cutting_takes_no_worker_besides_the_search(spark, block_bytes, blocks):
         part = prose(500 + k, 30)
         expected[k] = " ".join(prose(600 + k, 25) + part[: 3 * k]) + "  " + " ".join(part[3 * k + 12 :] + prose(700 + k, 25))
     assert {r[0]: r[1] for r in collected(cleaned, *DOCS_COLUMNS)} == expected
+
+
+def brute_rarest(sets, percent):
+    """Shingle, set, place and count of prefixes, and each set's centre, from the definition."""
+    count = Counter(s for own in sets.values() for s in own)
+    out = []
+    for cls, own in sets.items():
+        order = sorted((count[s] > 1 and (count[s], s) or (1, s)) for s in own)
+        room = len(own) - -(-len(own) * percent // 100) + 1
+        centre = sum(c for c, _ in order if c > 1) / len(own)
+        out += [(s, cls, place, c, round(centre, 9)) for place, (c, s) in enumerate(order[:room]) if c > 1]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("frequent", [100_000, 60, 1])
+def test_only_what_can_be_in_a_prefix_is_listed(spark, monkeypatch, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    sets, x = {}, 3
+    for cls in range(40):
+        own = set(range(-50, 50)) - {cls - 20, cls - 19}
+        for _ in range(8):
+            x = (x * 1103515245 + 12345) % 2**31
+            own.add(1000 + (x >> 16) % 150)
+        sets[cls] = sorted(own)
+    rows = [(c, len(own), bytearray(np.array(own, np.int64).view(np.uint64).tobytes())) for c, own in sets.items()]
+    table = spark.createDataFrame(rows, "cls long, n long, shingles binary")
+    got = jaccard.rarest_first(table, 80).collect()
+    assert sorted((r["shingle"], r["cls"], r["place"], r["c"], round(r["centre"], 9)) for r in got) == brute_rarest(sets, 80)
+    if frequent == 100_000:
+        listed = jaccard.rarest_candidates(table, jaccard.shared_shingles(table), 80)
+        assert workers(listed) == 1
+        # Each of the 40 sets has some 106 shingles, of which 22 have room.
+        assert listed.count() <= 40 * 24
